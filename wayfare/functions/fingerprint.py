@@ -47,7 +47,8 @@ def fingerprint_sql(
     if null_token is not None:
         token = null_token.replace("\\", "\\\\").replace("'", "\\'")
         parts = [f"coalesce({p}, '{token}')" for p in parts]
-    return f"sha2(concat_ws('{SEPARATOR}', {', '.join(parts)}), 256)"
+    # never NULL: saying so spares joins and filters on the key a NULL test that would hash every row twice
+    return f"coalesce(sha2(concat_ws('{SEPARATOR}', {', '.join(parts)}), 256), '')"
 
 
 def fingerprint(

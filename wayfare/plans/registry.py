@@ -72,9 +72,9 @@ def trips(spark: SparkSession, folder: str, named: bool = False) -> DataFrame:
 
     Two columns of the raw layout are absent. ``named`` adds a person name.
     """
-    rows = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    # both sides grow with the data, so neither is a candidate for broadcasting
+    rows = items.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     names = []
     if named:
         rows = rows.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -812,11 +812,8 @@ def snapshot_log(spark: SparkSession, folder: str) -> DataFrame:
        from (values (timestamp '2024-01-01'), (timestamp '2024-02-01')) as c(made_current_at)"""
 )
 def snapshot_history(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        _two_commits(spark, folder)
-        .history()
-        .withColumn("made_current_at", F.col("made_current_at").cast("timestamp_ntz"))
-    )
+    made = F.col("made_current_at").cast("timestamp_ntz").alias("made_current_at")
+    return _two_commits(spark, folder).history().select(made, "is_current_ancestor")
 
 
 @register("select count(*) as rows, true as every_file_has_size from lineitem where l_linestatus = 'F'")
