@@ -1,8 +1,9 @@
 """Dense ranks and top groups.
 
 ``dense_rank`` over a plain window sends every row of a group to one task. Here the rows are first reduced to the
-distinct values of each group, those are ranked in small value ranges, and the ranks are joined back. No task sees a
-whole group, and the join key is the group with the value, so a hot group is spread out.
+distinct values of each group. Those are ranked in small value ranges, each opened by a row with the number of higher
+values, and the ranks are joined back. No task sees a whole group, and the join key is the group with the value, so a
+hot group is spread out.
 """
 
 from __future__ import annotations
@@ -34,10 +35,21 @@ def value_ranks(
     distinct = df.select(*keys, value).distinct().withColumn("__piece", piece)
     sizes = distinct.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__n"))
     above = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("__piece")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__piece", F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__above"))
-    within = F.row_number().over(Window.partitionBy(*keys, "__piece").orderBy(F.desc_nulls_last(value)))
-    ranked = join_null_safe(distinct.withColumn("__within", within), offsets, [*keys, "__piece"])
-    return ranked.select(*keys, value, (F.col("__within") + F.col("__above")).cast("int").alias(rank))
+    opening = sizes.select(
+        *keys,
+        F.lit(None).cast(df.schema[value].dataType).alias(value),
+        "__piece",
+        F.lit(0).alias("__is_value"),
+        F.coalesce(F.sum("__n").over(above), F.lit(0)).alias("__step"),
+    )
+    values = distinct.select(*keys, value, "__piece", F.lit(1).alias("__is_value"), F.lit(1).cast("bigint").alias("__step"))
+    running = (
+        Window.partitionBy(*keys, "__piece")
+        .orderBy("__is_value", F.desc_nulls_last(value))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    ranked = values.unionAll(opening).withColumn(rank, F.sum("__step").over(running).cast("int"))
+    return ranked.filter("__is_value = 1").select(*keys, value, rank)
 
 
 def rank_trips_by_fare(df: DataFrame, cols: TripColumns = RAW, range_width: float = 1.0) -> DataFrame:

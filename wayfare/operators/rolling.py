@@ -4,7 +4,7 @@ The count at time t covers ``[t - window, t]``, both ends included, in whole sec
 keep a zone's rows in one task and visit the frame again for every row. Here trips are first counted per zone and
 second. Each such count enters the total at its second and leaves it after ``window`` seconds; a running sum of
 entries and exits, ordered so that exits at t apply after t, is the answer. The running sum is taken inside short
-time slices, with the sum of all earlier slices carried in, so a task sees at most one slice of a zone.
+time slices, each opened by a row with the sum of all earlier slices, so a task sees at most one slice of a zone.
 """
 
 from __future__ import annotations
@@ -36,14 +36,16 @@ def rolling_counts(
     )
     totals = changes.groupBy(zone, "__slice").agg(F.sum("delta").alias("__total"))
     earlier = Window.partitionBy(zone).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(zone, "__slice", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__carried"))
-    running = (
-        Window.partitionBy(zone, "__slice").orderBy("at", "exit").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    inside = changes.withColumn("__inside", F.sum("delta").over(running)).filter("exit = 0")
-    return join_null_safe(inside, carried, [zone, "__slice"]).select(
-        zone, F.col("at").alias(second), (F.col("__inside") + F.col("__carried")).alias(result)
+    opening = totals.select(
+        zone,
+        "__slice",
+        F.lit(None).cast("bigint").alias("at"),
+        F.lit(-1).alias("exit"),
+        F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("delta"),
     )
+    running = Window.partitionBy(zone, "__slice").orderBy("at", "exit").rowsBetween(Window.unboundedPreceding, 0)
+    summed = changes.unionAll(opening).withColumn(result, F.sum("delta").over(running))
+    return summed.filter("exit = 0").select(zone, F.col("at").alias(second), result)
 
 
 def rolling_trip_count(
