@@ -135,6 +135,15 @@ def test_scoped_conf_restores(spark):
     assert spark.conf.get(unset) != "-1"
 
 
+def test_held_releases_after_an_error(spark):
+    df = spark.range(5)
+    with pytest.raises(RuntimeError):
+        with session.held(df):
+            assert df.is_cached and df.count() == 5
+            raise RuntimeError
+    assert not df.is_cached
+
+
 def test_work_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = session.work_folder(spark, "x"), session.work_folder(spark, "x")

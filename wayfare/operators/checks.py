@@ -54,16 +54,24 @@ def _check_model(models: Mapping[str, DataFrame], model: str, checks: Sequence[C
     """All checks of one model from one pass over it.
 
     The model becomes rows (column, value), counted per value before the shuffle. From those counts follow NULLs,
-    repeated values and, after a join with the parents' keys, orphans.
+    repeated values and, after a join with the parents' keys, orphans. Columns that are only tested for NULL need no
+    values, so theirs are replaced by a constant.
     """
-    columns = list(dict.fromkeys(c.column for c in checks))
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    columns = dict.fromkeys(c.column for c in checks)
+    compared = {c.column for c in checks if c.kind != "not_null"}
+    texts = {c: F.col(c).cast("string") if c in compared else F.when(F.col(c).isNotNull(), "") for c in columns}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text.alias("value")) for c, text in texts.items()])
     counts = (
-        models[model].select(F.explode(pairs).alias("p")).groupBy("p.column", "p.value").agg(F.count(F.lit(1)).alias("n"))
+        models[model]
+        .select(F.explode(pairs).alias("p"))
+        .groupBy("p.column", "p.value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     parents = [
         models[c.parent].select(
-            F.lit(c.column).alias("column"), F.col(c.parent_column).cast("string").alias("value"), F.lit(1).alias("found")
+            F.lit(c.column).alias("column"),
+            F.col(c.parent_column).cast("string").alias("value"),
+            F.lit(1).alias("found"),
         )
         for c in checks
         if c.kind == "relationships"

@@ -22,11 +22,12 @@ RANK = "fare_rank"
 
 
 def value_ranks(
-    df: DataFrame, keys: Sequence[str], value: str, rank: str = RANK, range_width: float = 1.0
+    df: DataFrame, keys: Sequence[str], value: str, rank: str = RANK, range_width: float = 100.0
 ) -> DataFrame:
     """Dense rank, highest value first, of each distinct (keys, value); NULL values come last.
 
-    ``range_width`` is the span of values ranked in one piece. It affects the size of the pieces, not the result.
+    ``range_width`` is the span of values ranked in one piece: 100 holds at most 10,000 amounts in cents. It affects the
+    size of the pieces, not the result.
     """
     keys = list(keys)
     number = F.col(value).cast("double")
@@ -52,7 +53,7 @@ def value_ranks(
     return ranked.filter("__is_value = 1").select(*keys, value, rank)
 
 
-def rank_trips_by_fare(df: DataFrame, cols: TripColumns = RAW, range_width: float = 1.0) -> DataFrame:
+def rank_trips_by_fare(df: DataFrame, cols: TripColumns = RAW, range_width: float = 100.0) -> DataFrame:
     """Add the hour of day and the dense fare rank within (pickup zone, hour of day)."""
     hourly = df.withColumn(HOUR, F.hour(cols.pickup))
     keys = [cols.pickup_zone, HOUR]

@@ -8,16 +8,18 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed join partitions and sizes shuffles at run time. Forcing the skew rule keeps it active when a
-# grouping above the join could have reused the join's partitioning.
+# grouping above the join could have reused the join's partitioning. The hash-join limit lets AQE skip the sort of a
+# merge join once it has seen that every partition of one side is small.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -47,6 +49,16 @@ def scoped_conf(spark: SparkSession, **settings: object) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+@contextlib.contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` in memory and on local disk inside the block. For inputs that several short queries share."""
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 @functools.lru_cache
 def _local_folder(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="wayfare-")
