@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from helpers import trips
 from wayfare import __main__ as command
+from wayfare.operators.history import history_violations, update_rows
 from wayfare.plans import reports, tuning
 from wayfare.plans.jobs import run_lakehouse, run_warehouse
 from wayfare.sources.versioned import VersionedTable
@@ -51,7 +52,15 @@ def test_warehouse(spark, raw, zones, tmp_path):
     assert len(fact.columns) == 21 and fact.count() == 240
     days = VersionedTable(spark, f"{tmp_path}/dim_date").read()
     assert days.count() == 1096
-    assert VersionedTable(spark, f"{tmp_path}/location_history").read().count() == 2
+    renamed = update_rows(zones, F.col("LocationID") == 2, Zone="two Updated")
+    run_warehouse(raw, renamed, str(tmp_path))
+    history = VersionedTable(spark, f"{tmp_path}/location_history").read()
+    assert {(r.location_id, r.zone_name, r.valid_to is None) for r in history.collect()} == {
+        (1, "one", True),
+        (2, "two", False),
+        (2, "two Updated", True),
+    }
+    assert tuple(history_violations(history, "location_id").first()) == (2, 0, 0, 0)
 
 
 def test_command_line(spark, raw, zones, tmp_path, capsys):

@@ -8,6 +8,7 @@ the two engines hand these types to Python differently.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -825,15 +826,20 @@ def file_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @register(
-    f"""with {SQL_TRIPS} select 2::bigint as files, cast(sum(n) as bigint) as rows
-        from (select 1 as n from trips group by PULocationID, DOLocationID)"""
+    f"""with {SQL_TRIPS} select 2::bigint as files, cast(count(*) as bigint) as rows, cast(sum(n) as bigint) as trips
+        from (select count(*) as n from trips group by VendorID, payment_type)"""
 )
 def coalesced_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts per vendor and payment type, few whatever the input, in two files."""
     path = work_folder(spark, "coalesced")
-    counts = ranking.pair_counts(trips(spark, folder))
+    counts = ranking.pair_counts(trips(spark, folder), replace(RAW, pickup_zone="VendorID", dropoff_zone="payment_type"))
     sinks.write_coalesced(counts.repartition(8), path)
-    listed = sinks.list_files(spark.read.parquet(path))
-    return listed.agg(F.count(F.lit(1)).alias("files"), F.sum("record_count").alias("rows"))
+    written = spark.read.parquet(path)
+    return written.agg(
+        F.count_distinct("_metadata.file_path").alias("files"),
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("trip_count").alias("trips"),
+    )
 
 
 @register("select * from orders")
