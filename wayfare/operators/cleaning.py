@@ -86,36 +86,31 @@ def clean_trips(
 
 def clean_trips_sql(
     df: DataFrame,
-    view: str = "raw_trips",
+    view: str = "trip_input",
     cols: TripColumns = RAW,
     min_fare: float = MIN_FARE,
     zones: tuple[int, int] = ZONE_RANGE,
 ) -> DataFrame:
-    """The same table by one SQL statement over a temporary view; names are dropped rather than masked.
+    """The same table by one piped SQL statement over a temporary view; names are dropped rather than masked.
 
     ``60.0D`` is a double: a bare ``60.0`` is a decimal in Spark SQL and would round the duration.
     """
     df.createOrReplaceTempView(view)
-    ties = ", ".join(f"`{c}`" for c in df.columns if c.lower() != cols.pickup.lower())
-    result = df.sparkSession.sql(
+    others = [f"`{c}`" for c in df.columns if c.lower() != cols.pickup.lower()]
+    name = _find(df, NAME)
+    low, high = zones
+    return df.sparkSession.sql(
         f"""
-        with valid as (
-            select *,
-                   (unix_timestamp({cols.dropoff}) - unix_timestamp({cols.pickup})) / 60.0D as {DURATION},
-                   {fingerprint_sql(df)} as {KEY}
-            from {view}
-            where {cols.fare} >= {min_fare}D
-              and {cols.dropoff} > {cols.pickup}
-              and {cols.pickup_zone} between {zones[0]} and {zones[1]}
-              and {cols.dropoff_zone} between {zones[0]} and {zones[1]}
-        ), numbered as (
-            select *, row_number() over (partition by {KEY} order by {cols.pickup}, {ties}) as row_num from valid
-        )
-        select * from numbered where row_num = 1
+        from {view}
+        |> where {cols.fare} >= {min_fare}D and {cols.pickup} < {cols.dropoff}
+        |> where {cols.pickup_zone} between {low} and {high} and {cols.dropoff_zone} between {low} and {high}
+        |> extend (unix_timestamp({cols.dropoff}) - unix_timestamp({cols.pickup})) / 60.0D as {DURATION},
+                  {fingerprint_sql(df)} as {KEY}
+        |> extend row_number() over (partition by {KEY} order by {", ".join([cols.pickup, *others])}) as __position
+        |> where __position = 1
+        |> drop __position{f", `{name}`" if name else ""}
         """
-    ).drop("row_num")
-    name = _find(result, NAME)
-    return result.drop(name) if name else result
+    )
 
 
 def retention(

@@ -111,12 +111,18 @@ class Dimension:
 
 
 def star_lookup(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
-    """Add the attributes of every dimension to the fact rows; unknown keys give NULL attributes."""
+    """Add the attributes of every dimension to the fact rows; unknown keys give NULL attributes.
+
+    A table that serves several keys is measured once.
+    """
+    tables = {id(d.table): d.table for d in dimensions}
+    fits = {name: fits_broadcast(table) for name, table in tables.items()}
     for dimension in dimensions:
         fact_key = f"{dimension.prefix}__key"
         attributes = dimension.table.select(
             F.col(dimension.key).alias(fact_key),
             *[F.col(c).alias(f"{dimension.prefix}_{c}") for c in dimension.table.columns if c != dimension.key],
         )
-        fact = lookup_join(fact, attributes, F.col(dimension.fact_key) == F.col(fact_key), "left").drop(fact_key)
+        side = F.broadcast(attributes) if fits[id(dimension.table)] else attributes
+        fact = fact.join(side, F.col(dimension.fact_key) == F.col(fact_key), "left").drop(fact_key)
     return fact
