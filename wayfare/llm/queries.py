@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.common import in_fold, read
 from wayfare.llm.exact_dedup import exact_groups
+from wayfare.llm.language_id import fit_language_model, predict_language
+from wayfare.llm.simhash import near_groups
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,8 +28,23 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from n window g as (partition by norm)
 """
 
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest identifier that links reach."""
+    return near_groups(read(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, by a model of the rows outside the held-out fold."""
+    docs = read(spark, folder, "documents")
+    return predict_language(docs, fit_language_model(docs)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_simhash": op7_simhash,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES = {
