@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 from wayfare.llm.common import in_fold, read
 from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
+from wayfare.llm.mixing import mix
 from wayfare.llm.simhash import near_groups
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the words that the mix takes of it."""
+    placed, stretches = mix(read(spark, folder, "documents"))
+    taken = stretches.groupBy("mark").agg(F.sum("words").alias("words"))
+    return placed.join(taken, "mark", "left").select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0)).alias("taken"), "source"
+    )
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the copy of it that stays."""
     return exact_groups(read(spark, folder, "documents")).select(
@@ -42,6 +52,7 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_simhash": op7_simhash,
     "op9_language_id": op9_language_id,
