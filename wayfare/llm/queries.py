@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.llm.bpe import encode_and_decode
 from wayfare.llm.common import in_fold, read
 from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
@@ -51,11 +52,25 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict_language(docs, fit_language_model(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's token ids and the text that they decode to, as digests."""
+    import public_tokenizers
+
+    found = encode_and_decode(read(spark, folder, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_simhash": op7_simhash,
     "op9_language_id": op9_language_id,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
