@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,8 +72,11 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op9_language_id": op9_language_id,
     "op10_bpe": op10_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op3_exact_dedup": OP3_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
