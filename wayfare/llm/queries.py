@@ -12,6 +12,8 @@ from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
 from wayfare.llm.mixing import mix
 from wayfare.llm.simhash import near_groups
+from wayfare.llm.warc import read_archives, resolve, write_archives
+from wayfare.session import work_folder
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -23,6 +25,33 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as the archives have it."""
+    archives = work_folder(spark, "warc")
+    write_archives(read(spark, folder, "pages"), archives)
+    return resolve(read_archives(spark, archives)).select(
+        "page_id",
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        F.col("target_page").alias("refers_to"),
+        "problem",
+    )
+
+
+OP2_SQL = """
+with p as (select page_id, coalesce(html, '') as payload from pages),
+d as (select page_id, payload, sha1(payload) as hex, max(page_id) over (partition by payload) as best from p)
+select page_id, octet_length(encode(payload))::bigint as payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (1 + ((('0x' || substr(hex, ((i // 4) * 5 + 1)::int, 5))::int >> (15 - 5 * (i % 4))::int) & 31))::int, 1)), '')
+           as payload_digest,
+       case when page_id = best then 'response' else 'revisit' end as record_type,
+       case when page_id <> best then best end as refers_to, cast(null as varchar) as problem
+from d
+"""
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with the copy of it that stays."""
     return exact_groups(read(spark, folder, "documents")).select(
@@ -68,6 +97,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_simhash": op7_simhash,
     "op9_language_id": op9_language_id,
@@ -76,6 +106,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_warc": OP2_SQL,
     "op3_exact_dedup": OP3_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
