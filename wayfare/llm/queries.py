@@ -11,7 +11,9 @@ from wayfare.llm.common import in_fold, read
 from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
 from wayfare.llm.mixing import mix
+from wayfare.llm.sharding import shard_documents
 from wayfare.llm.simhash import near_groups
+from wayfare.llm.token_count import read_vocabulary, token_counts
 from wayfare.llm.warc import read_archives, resolve, write_archives
 from wayfare.session import work_folder
 
@@ -69,6 +71,14 @@ select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
 from n window g as (partition by norm)
 """
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens and words of every document under the pieces and scores of a public vocabulary."""
+    import public_tokenizers
+
+    vocabulary = read_vocabulary(str(public_tokenizers.path("piece_bpe_32k.model")))
+    return token_counts(read(spark, folder, "documents"), *vocabulary).withColumnRenamed("id", "doc_id")
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its fingerprint and the smallest identifier that links reach."""
     return near_groups(read(spark, folder, "documents")).select(
@@ -76,6 +86,21 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of every document in sixteen shards of equal row counts."""
+    shards = shard_documents(read(spark, folder, "documents"), work_folder(spark, "shards"))
+    text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
+    return shards.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, by a model of the rows outside the held-out fold."""
     docs = read(spark, folder, "documents")
@@ -99,7 +124,9 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_token_counts": op4_token_counts,
     "op7_simhash": op7_simhash,
+    "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_bpe": op10_bpe,
     "pipeline": corpus_pipeline.run,
