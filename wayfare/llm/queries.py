@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from wayfare.llm.bpe import encode_and_decode
 from wayfare.llm.common import in_fold, read
+from wayfare.llm.embedding_dedup import near_vectors
 from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
 from wayfare.llm.mixing import mix
+from wayfare.llm.quality import fit_quality_model, score_quality
 from wayfare.llm.sharding import shard_documents
 from wayfare.llm.simhash import near_groups
 from wayfare.llm.token_count import read_vocabulary, token_counts
@@ -79,6 +81,18 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(read(spark, folder, "documents"), *vocabulary).withColumnRenamed("id", "doc_id")
 
 
+def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector with its links and the smallest identifier that links reach."""
+    return near_vectors(read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document, by a model of the labelled rows outside the held-out fold."""
+    docs = read(spark, folder, "documents")
+    model = fit_quality_model(docs, read(spark, folder, "labels"))
+    return score_quality(docs, model).withColumnRenamed("id", "doc_id")
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its fingerprint and the smallest identifier that links reach."""
     return near_groups(read(spark, folder, "documents")).select(
@@ -125,6 +139,8 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
