@@ -1,0 +1,53 @@
+import zlib
+
+import numpy as np
+from cases import LONG, documents, empty
+
+from wayfare.llm import language_id
+from wayfare.llm.language_id import drop_rejected, fit_language_model, predict_language
+
+
+def test_predicts_held_out_rows_and_knows_textless_ones(spark):
+    docs = documents(spark)
+    model = fit_language_model(docs)
+    found = predict_language(docs, model).collect()
+    assert len(found) == docs.count()
+    by_id = {r.id: r for r in found}
+    assert all(by_id[i].lang_pred == "und" and by_id[i].score == 0 for i in (1, 2, 3, 4, 9))
+    plain = [r for r in found if r.id and r.id >= 100]
+    assert all(r.held_out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in plain)
+    held = [r for r in plain if r.held_out]
+    assert held and all(r.lang_pred == ("en" if r.id < 200 else "fr") for r in held)
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_rejected_rows_go_and_columns_stay(spark):
+    docs = documents(spark)
+    kept = drop_rejected(docs, fit_language_model(docs))
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    assert not ids & {1, 2, 3, 4, 9} and ids >= set(range(100, 140)) | set(range(200, 240))
+
+
+def test_labels_of_the_held_out_fold_do_not_matter(spark):
+    docs = documents(spark).filter("doc_id >= 100")
+    changed = docs.selectExpr("doc_id", "text", "case when crc32(cast(doc_id as string)) % 4 = 2 then 'xx' else lang end as lang")
+    assert fit_language_model(changed).languages == ("en", "fr")
+    assert (fit_language_model(changed).scores == fit_language_model(docs).scores).all()
+
+
+def test_no_labels(spark):
+    docs = documents(spark)
+    model = fit_language_model(empty(docs))
+    assert {r.lang_pred for r in predict_language(docs, model).collect()} == {"und"}
+    assert predict_language(empty(docs), model).count() == 0
+    assert drop_rejected(empty(docs), model).count() == 0
+
+
+def test_stretches_of_long_texts_add_up(spark, monkeypatch):
+    model = fit_language_model(documents(spark))
+    texts = [LONG, "ab cd", "", LONG[:777], "é" * 3000]
+    whole = language_id._score_many(texts, model)
+    monkeypatch.setattr(language_id, "CHUNK", 100)
+    cut = language_id._score_many(texts, model)
+    assert np.allclose(whole[0], cut[0], rtol=1e-5, atol=1e-3) and (whole[1] == cut[1]).all()

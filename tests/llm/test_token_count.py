@@ -1,0 +1,57 @@
+import random
+
+import public_tokenizers
+import pytest
+from cases import documents, empty
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from wayfare.llm import token_count
+from wayfare.llm.token_count import MARK, UnigramCounter, read_vocabulary, token_counts
+
+
+def library(vocabulary, unknown, byte_fallback):
+    tokenizer = Tokenizer(models.Unigram(list(vocabulary), unknown, byte_fallback))
+    tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(replacement=MARK, prepend_scheme="always", split=True)
+    return tokenizer
+
+
+@pytest.fixture(scope="module")
+def public():
+    return read_vocabulary(str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def counted(texts, model):
+    count, out = UnigramCounter(*model).count, []
+    for text in texts:
+        text = text.replace(MARK, " ")
+        out.append(sum(count(MARK + part) for part in text.removeprefix(" ").split(" ")) if text else 0)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("bytes_", [False, True])
+def test_ties_go_as_in_the_library(seed, bytes_):
+    draw = random.Random(seed)
+    names = [MARK, "a", "b", "ab", "ba", "aba", MARK + "a", "cd", "dc", "abc", "é", "bcd", "b" + MARK]
+    pieces = [("<unk>", 0.0)] + [(p, float(-draw.randint(1, 3))) for p in names]
+    pieces += [(f"<0x{b:02X}>", 0.0) for b in range(256)] if bytes_ else []
+    model = (tuple(pieces), 0, bytes_)
+    texts = ["".join(draw.choice("ab cd é漢<unk>▁ \n") for _ in range(draw.randint(0, 14))) for _ in range(2000)]
+    texts += ["", " ", "  a ", MARK, "<unk>漢", "漢漢 漢"]
+    tokenizer = library(*model)
+    assert counted(texts, model) == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_long_words_keep_few_states(public, monkeypatch):
+    text = "abcdefgh漢" * 20_000
+    assert counted([text], public) == [len(library(*public).encode(text, add_special_tokens=False).ids)]
+
+
+def test_counts_like_the_library(spark, public, monkeypatch):
+    monkeypatch.setattr(token_count, "CACHED_WORDS", 10)
+    docs = documents(spark)
+    tokenizer = library(*public)
+    expected = [(r.doc_id, len(tokenizer.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect()]
+    found = [(r.id, r.n_tokens) for r in token_counts(docs, *public).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert token_counts(empty(docs), *public).count() == 0
