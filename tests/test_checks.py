@@ -1,8 +1,11 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from wayfare.operators import checks, comparison, profile
 from wayfare.plans import warehouse
+from wayfare.plans.reports import plan_text
+from wayfare.session import scoped_conf
 
 
 def test_declared_checks_are_complete():
@@ -29,6 +32,32 @@ def test_run_checks_finds_each_fault(spark):
     }
 
 
+def test_relationships_use_a_common_type_and_their_own_parent(spark):
+    child = spark.createDataFrame([(1.0, 1), (2.0, 2), (2.0, 9)], "ref double, both int")
+    one, two = (spark.createDataFrame([(i,) for i in ids], "pk int") for ids in ([1, 2], [1, 2, 9]))
+    text = spark.createDataFrame([("1",), ("2",), ("x",)], "pk string")
+    declared = [
+        *checks.relationship("child", "ref", "one", "pk"),
+        *checks.relationship("child", "both", "one", "pk"),
+        *checks.relationship("child", "both", "two", "pk"),
+        *checks.relationship("child", "both", "text", "pk"),
+    ]
+    result = checks.run_checks({"child": child, "one": one, "two": two, "text": text}, declared).collect()
+    assert [r.failures for r in result] == [0, 1, 0, 1]
+
+
+def test_checks_shuffle_each_key_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 as ref", "id as x").write.parquet(str(tmp_path / "t"))
+    child, parent = spark.read.parquet(str(tmp_path / "t")), spark.range(7).withColumnRenamed("id", "pk")
+    declared = [
+        *checks.not_null("c", "id", "ref", "x"),
+        *checks.unique("c", "id"),
+        *checks.relationship("c", "ref", "p", "pk"),
+    ]
+    plan = plan_text(checks.run_checks({"c": child, "p": parent}, declared), "simple")
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_empty_model_fails_nothing(spark):
     empty = spark.createDataFrame([], "id int")
     result = checks.run_checks({"m": empty}, [*checks.unique("m", "id"), *checks.not_null("m", "id")]).collect()
@@ -78,6 +107,15 @@ def test_partition_skew(spark):
     }
 
 
+def test_partition_rows_behind_an_adaptive_shuffle(spark):
+    df = spark.range(0, 200_000, 1, 8).selectExpr("id", "id % 1000 as k", "sha2(string(id), 256) as t").repartition(F.col("k"))
+    settings = {"spark.sql.shuffle.partitions": 48, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB"}
+    with scoped_conf(spark, **settings, **{"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
+        made = sorted(r[1] for r in df.rdd.mapPartitionsWithIndex(lambda i, rows: [(i, sum(1 for _ in rows))]).collect())
+        rows = sorted(r.rows for r in profile.partition_rows(df).collect())
+    assert sum(rows) == 200_000 and rows == made and len(rows) > 4
+
+
 def test_schema_rows(spark):
     rows = profile.schema_rows(spark.range(1).selectExpr("id", "string(null) as s")).collect()
     assert [tuple(r) for r in rows] == [(0, "id", "bigint", False), (1, "s", "string", True)]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wayfare import functions as fn
 from wayfare.functions.fingerprint import fingerprint, fingerprint_sql, resolve
+from wayfare.session import scoped_conf
 
 
 def values(df, column):
@@ -79,9 +80,18 @@ def test_fingerprint_nulls(spark):
     assert len(set(values(df, fingerprint(df, spec, null_token="-")))) == 2
 
 
-def test_fingerprint_too_large_for_kind_counts_as_null(spark):
-    df = spark.createDataFrame([(1e15, "x"), (None, "x")], "c double, a string")
-    assert len(set(values(df, fingerprint(df, [("c", "dec"), ("a", "str")])))) == 1
+def test_values_beyond_their_kind_keep_rows_apart(spark):
+    df = spark.createDataFrame([(1e15, "x"), (2e15, "x"), (None, "x"), (float("nan"), "x")], "c double, a string")
+    assert len(set(values(df, fingerprint(df, [("c", "dec"), ("a", "str")])))) == 4
+    texts = spark.createDataFrame([("one",), ("two",), ("3",), (None,)], "b string")
+    assert len(set(values(texts, fingerprint(texts, [("b", "int")])))) == 4
+
+
+def test_exact_duration_does_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([(datetime(2024, 3, 10, 1, 30), datetime(2024, 3, 10, 3, 30))], "a timestamp_ntz, b timestamp_ntz")
+    with scoped_conf(spark, spark__sql__session__timeZone="America/New_York"):
+        assert values(df, fn.duration_minutes_exact("a", "b")) == [120.0]
+        assert values(df, fn.duration_minutes_whole("a", "b")) == [120.0]
 
 
 def test_fingerprint_is_never_null(spark):

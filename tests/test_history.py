@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.operators import history
 from wayfare.operators.comparison import compare_rows
 from wayfare.plans.jobs import update_history
+from wayfare.plans.reports import plan_text
 
 SCHEMA = "location_id int, borough string, zone_name string, service_zone string"
 CHECKED = ["borough", "zone_name", "service_zone"]
@@ -41,6 +42,26 @@ def test_merge_rules(spark):
     assert [r.zone_name for r in history.versions_of(result, "location_id", 2).collect()] == ["old", "new"]
 
 
+def test_each_merge_reads_the_history_once(spark, tmp_path):
+    spark.createDataFrame([(1, "B", "x", "s")], SCHEMA).write.parquet(str(tmp_path / "z"))
+    source = spark.read.parquet(str(tmp_path / "z"))
+    result, scans = history.start_history(source, DAYS[0]), []
+    for day in DAYS[1:6]:
+        result = merge(result, source, day)
+        scans.append(plan_text(result, "simple").count("FileScan"))
+    assert scans == [2, 3, 4, 5, 6]
+    assert result.count() == 1
+
+
+def test_closed_rows_stay_and_null_keys_never_match(spark):
+    first = spark.createDataFrame([(1, "B", "a", "s"), (None, "B", "n", "s")], SCHEMA)
+    second = spark.createDataFrame([(1, "B", "b", "s")], SCHEMA)
+    result = merge(merge(history.start_history(first, DAYS[0]), second, DAYS[1]), first.filter("location_id = 1"), DAYS[2])
+    rows = sorted(((r.location_id, r.zone_name, r.valid_from, r.valid_to) for r in result.collect()), key=str)
+    expected = [(1, "a", DAYS[0], DAYS[1]), (1, "b", DAYS[1], DAYS[2]), (1, "a", DAYS[2], None), (None, "n", DAYS[0], None)]
+    assert rows == sorted(expected, key=str)
+
+
 states = st.dictionaries(st.integers(1, 4), st.sampled_from(["x", "y", None]), max_size=4)
 
 

@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 from helpers import trips
 from wayfare import __main__ as command
 from wayfare.operators.history import history_violations, update_rows
-from wayfare.plans import reports, tuning
+from wayfare.plans import reports, tuning, warehouse
 from wayfare.plans.jobs import run_lakehouse, run_warehouse
+from wayfare.plans.reports import plan_text
 from wayfare.sources.versioned import VersionedTable
 
 ZONES = "LocationID int, Borough string, Zone string, service_zone string"
@@ -33,6 +34,10 @@ def test_lakehouse(spark, raw, zones, tmp_path):
     assert values(result["profile"], "retention") == {"raw": "253", "cleaned": "240", "dropped_pct": str(13 / 253 * 100)}
     assert values(result["equivalence"], "sql_and_dataframe")["identical"] == "true"
     assert values(result["windows"], "rank")["failures"] == "0"
+    assert "Scan" in values(result["equivalence"], "plans")["sql"]
+    assert sum(int(n) for n in values(result["profile"], "rows_per_partition").values()) == 253
+    assert {values(result["files"], n)["rows"] for n in ("trips_silver", "trips_gold", "trips_gold_rolling_7d")} == {"240"}
+    assert "BroadcastHashJoin" in values(result["tuning"], "join_plans")["broadcast"]
     assert values(result["windows"], "rolling") == {"groups": "2", "failures": "0"}
     strategy = values(result["tuning"], "join_strategy")
     assert (strategy["broadcast_in_plan"], strategy["sort_merge_in_plan"]) == ("True", "True")
@@ -63,6 +68,23 @@ def test_warehouse(spark, raw, zones, tmp_path):
     assert tuple(history_violations(history, "location_id").first()) == (2, 0, 0, 0)
 
 
+def test_rows_that_do_not_fit_are_kept_aside(spark, raw, zones, tmp_path):
+    odd = raw.withColumn("fare_amount", F.when(F.col("VendorID") == 1, 1e8).otherwise(F.col("fare_amount")))
+    with pytest.raises(Exception, match="fare_amount does not fit"):
+        warehouse.stage_trips(odd).collect()
+    result = run_warehouse(odd, zones, str(tmp_path))
+    assert result.filter("failures > 0").count() == 0
+    unfit = VersionedTable(spark, f"{tmp_path}/stg_trips_unfit").read()
+    ones = raw.filter("VendorID = 1").count()
+    assert unfit.count() == ones and {tuple(r.unfit) for r in unfit.collect()} == {("fare_amount",)}
+
+
+def test_staged_fare_test_reaches_the_scan(spark, raw, tmp_path):
+    raw.write.parquet(str(tmp_path / "t"))
+    plan = plan_text(warehouse.stage_trips(spark.read.parquet(str(tmp_path / "t"))))
+    assert "GreaterThanOrEqual(fare_amount,2.49)" in plan
+
+
 def test_command_line(spark, raw, zones, tmp_path, capsys):
     raw.write.parquet(str(tmp_path / "in" / "yellow_tripdata_2024-01.parquet"))
     zones.toPandas().to_csv(tmp_path / "zones.csv", index=False)

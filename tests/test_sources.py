@@ -1,3 +1,4 @@
+import contextlib
 from datetime import datetime
 
 import pytest
@@ -5,8 +6,8 @@ from pyspark.sql import functions as F
 
 from wayfare import session
 from wayfare.schemas import TRIPS
-from wayfare.sources import generated, readers, sinks
-from wayfare.sources.versioned import VersionedTable
+from wayfare.sources import generated, readers, sinks, versioned
+from wayfare.sources.versioned import ConcurrentWrite, VersionedTable
 
 
 def test_read_trips(spark, tmp_path):
@@ -56,12 +57,76 @@ def test_versioned_table(spark, tmp_path):
     second = table.write(table.read().filter("id < 4"), committed_at=datetime(2024, 1, 2))
     assert table.exists()
     assert (table.read().count(), table.read(first).count()) == (4, 10)
-    assert [tuple(r)[1:] for r in table.snapshots().collect()] == [(first, None, "append"), (second, first, "overwrite")]
-    assert [tuple(r)[1:] for r in table.history().collect()] == [(first, True), (second, True)]
+    log = [tuple(r)[1:] for r in table.snapshots().collect()]
+    assert log == [(first, None, "append", 10), (second, first, "overwrite", 4)]
     files = table.files().collect()
     assert sum(f.record_count for f in files) == 4 and all(f.file_size_in_bytes > 0 for f in files)
 
 
+def test_log_is_in_commit_order(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(1), committed_at=datetime(2024, 2, 1))
+    table.write(spark.range(2), committed_at=datetime(2024, 1, 1))
+    assert [r.operation for r in table.snapshots().collect()] == ["append", "overwrite"]
+    assert table.read().count() == 2
+
+
+def test_second_writer_fails(spark, tmp_path, monkeypatch):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(1))
+    before = table._current()
+    table.write(spark.range(2))
+    monkeypatch.setattr(table, "_current", lambda: before)  # as a writer that began before the other's commit
+    with pytest.raises(ConcurrentWrite):
+        table.write(spark.range(3))
+    assert VersionedTable(spark, table.folder).read().count() == 2
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+
+
+def test_two_rows_of_one_commit(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(1))
+    spark.read.parquet(f"{table.folder}/log/*").withColumn("snapshot_id", F.lit(2**62)).write.mode("append").parquet(
+        f"{table.folder}/log/{1:019d}"
+    )
+    ids = [r.snapshot_id for r in spark.read.parquet(f"{table.folder}/log/*").collect()]
+    assert len(ids) == 2 and table._current().snapshot_id == min(ids)
+
+
+def test_target_size_is_for_clustered_writes_only(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(versioned, "scoped_conf", lambda _, **options: asked.append(options) or contextlib.nullcontext())
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.write(spark.range(5))
+    table.write(spark.range(5), ["id"])
+    assert asked == [{}, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": versioned.TARGET_FILE_BYTES}]
+
+
+def test_unreadable_values_are_counted_or_stop_the_job(spark):
+    df = spark.createDataFrame([("7", "x"), ("bad", "y"), (None, "z")], "VendorID string, store_and_fwd_flag string")
+    counts = {r.column: r.unreadable for r in readers.unreadable_counts(df).collect()}
+    assert counts == {"VendorID": 1, "store_and_fwd_flag": 0}
+    assert [r.VendorID for r in readers.conform(df).collect()] == [7, None, None]
+    with pytest.raises(Exception, match="VendorID does not fit int: bad"):
+        readers.conform(df, unreadable="error").collect()
+    with pytest.raises(ValueError):
+        readers.conform(df, unreadable="drop")
+
+
+def test_lineage_and_declared_schema(spark, tmp_path):
+    for month in (1, 2):
+        spark.range(3).select(F.lit(month).alias("VendorID")).write.parquet(str(tmp_path / f"yellow_tripdata_{month}.parquet"))
+    rows = readers.read_trips(spark, str(tmp_path), schema=TRIPS, lineage="file")
+    assert rows.columns == [*TRIPS.names, "file"]
+    assert all(f"yellow_tripdata_{r.VendorID}." in r.file and r.fare_amount is None for r in rows.collect())
+
+
+def test_work_folders_can_be_removed(spark):
+    path = session.work_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert session.remove_folder(spark, path) and not session.remove_folder(spark, path)
+
+
 def test_failed_write_leaves_no_version(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     table.write(spark.range(10))

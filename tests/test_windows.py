@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -84,11 +85,33 @@ def test_rank_ties_nulls_and_nan(spark):
 @settings(**FEW)
 @given(
     st.lists(st.tuples(st.integers(0, 7200), st.integers(1, 2), st.integers(0, 400)), min_size=1, max_size=60),
-    st.sampled_from([0.01, 0.5, 1.0, 1000.0]),
+    st.sampled_from([(256, 10_000), (4, 0), (16, 3), (2, 5)]),
 )
-def test_rank_equals_native_window(spark, rows, width):
+def test_rank_equals_native_window(spark, rows, pieces):
     df = trips(spark, [(1, s, s, z, 1, f / 100) for s, z, f in rows])
-    assert same(ranking.rank_trips_by_fare(df, range_width=width), native_rank(df))
+    assert same(ranking.rank_trips_by_fare(df, pieces=pieces[0], piece_values=pieces[1]), native_rank(df))
+
+
+def test_rank_in_pieces_with_nulls_and_nan(spark):
+    fares = [5.0, 5.0, 4.99, None, None, float("nan"), -0.5, 1e300, 0.0, -0.0, float("inf")]
+    df = trips(spark, [(1, 0, 9, z, 1, f) for z in (1, None) for f in fares])
+    assert same(ranking.rank_trips_by_fare(df, pieces=3, piece_values=1), native_rank(df))
+
+
+@pytest.mark.parametrize("value", ["rand(7)", "1e12 + id * 1e9", "case when id % 3 = 0 then rand(7) else exp(id / 1000) end"])
+def test_pieces_are_bounded_however_values_are_spread(spark, value):
+    values = spark.range(0, 300_000, 1, 8).selectExpr("1 as zone", f"{value} as fare").distinct()
+    sizes = ranking._pieces(values, ["zone"], "fare", 256, 10_000).groupBy("zone", "__piece").count()
+    largest, total, pieces = sizes.agg(F.max("count"), F.sum("count"), F.count("*")).first()
+    assert total == values.count() and largest < 3 * total / 256 and pieces <= 257
+
+
+def test_rank_by_calendar_hour(spark):
+    df = trips(spark, [(1, s, 9, 1, 1, float(f)) for s, f in [(0, 5), (10, 7), (86_400, 6), (86_401, 1)]])
+    ranks = ranking.rank_trips_by_fare(df, grain="calendar").select("fare_amount", "fare_rank").collect()
+    assert sorted(tuple(r) for r in ranks) == [(1.0, 2), (5.0, 2), (6.0, 1), (7.0, 1)]
+    with pytest.raises(ValueError):
+        ranking.hour_of(grain="week")
 
 
 def test_rank_of_decimals(spark):
@@ -118,6 +141,10 @@ def test_spot_checks_find_wrong_results(spark):
     ranked, rolled = ranking.rank_trips_by_fare(df), rolling.rolling_trip_count(df)
     assert checks.rank_check(df, ranked).filter("not ok").count() == 0
     assert checks.rolling_check(df, rolled).filter("not ok").count() == 0
+    extra = ranked.limit(1).withColumn("PULocationID", F.lit(77)).withColumn("fare_rank", F.lit(1))
+    assert [r.PULocationID for r in checks.rank_check(df, ranked.unionAll(extra)).filter("not ok").collect()] == [77]
+    more = rolled.limit(1).withColumn("PULocationID", F.lit(78))
+    assert [r.PULocationID for r in checks.rolling_check(df, rolled.unionAll(more)).filter("not ok").collect()] == [78]
     wrong_rank = ranked.filter("not (PULocationID = 2 and fare_rank = 1)")
     assert {r.PULocationID for r in checks.rank_check(df, wrong_rank).filter("not ok").collect()} == {2}
     wrong_count = rolled.withColumn(rolling.ROLLING, F.col(rolling.ROLLING) + F.when(F.col("PULocationID") == 1, 1).otherwise(0))

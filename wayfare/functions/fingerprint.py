@@ -1,7 +1,7 @@
 """Row fingerprint: SHA-256 over normalised business columns, as SQL text and as a ``Column``.
 
-``try_cast`` keeps a value that does not fit its kind from failing the job: it becomes NULL and, like every NULL,
-is left out of the hashed text. ``null_token`` hashes a marker for NULLs instead, so that ``(NULL, '1')`` and
+A value that does not fit its kind is hashed as its plain text, so rows that differ in it keep different keys. NULLs
+are left out of the hashed text. ``null_token`` hashes a marker for NULLs instead, so that ``(NULL, '1')`` and
 ``('1', NULL)`` differ; that form does not match fingerprints made without it.
 """
 
@@ -16,9 +16,9 @@ from wayfare.schemas import FINGERPRINT
 
 # How each kind is turned into text before hashing, and the text between two columns.
 NORMAL_FORMS = {
-    "int": "string(try_cast({0} as bigint))",
+    "int": "coalesce(string(try_cast({0} as bigint)), string({0}))",
     "ts": "date_format({0}, 'yyyy-MM-dd HH:mm:ss')",
-    "dec": "string(try_cast({0} as decimal(12,2)))",
+    "dec": "coalesce(string(try_cast({0} as decimal(12,2))), string({0}))",
     "str": "string({0})",
 }
 SEPARATOR = "||"

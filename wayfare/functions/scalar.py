@@ -1,7 +1,6 @@
 """Time, text and surrogate-key expressions.
 
-Timestamps without zone are read in the session zone, so jobs should pin ``spark.sql.session.timeZone`` to UTC
-(``wayfare.session`` does).
+Differences of timestamps without zone do not depend on the session zone.
 """
 
 from __future__ import annotations
@@ -28,8 +27,8 @@ def duration_minutes_whole(start: ColumnLike, end: ColumnLike) -> Column:
 
 def duration_minutes_exact(start: ColumnLike, end: ColumnLike) -> Column:
     """Minutes between two timestamps, keeping microseconds."""
-    micros = [F.unix_micros(_col(c).cast("timestamp")) for c in (start, end)]
-    return (micros[1] - micros[0]) / F.lit(60_000_000.0)
+    seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("bigint") / F.lit(60_000_000.0)
 
 
 def sunday_based_weekday(day: ColumnLike) -> Column:

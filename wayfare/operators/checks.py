@@ -8,9 +8,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.functions import epoch_seconds
-from wayfare.operators.joins import join_null_safe, lookup_join
+from wayfare.operators.joins import join_null_safe
 from wayfare.operators.ranking import HOUR, RANK
 from wayfare.operators.rolling import ROLLING, SECOND
 from wayfare.schemas import RAW, ROLLING_SECONDS, TripColumns
@@ -50,71 +51,56 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     return counts.filter("n_rows > 1")
 
 
-def _check_model(models: Mapping[str, DataFrame], model: str, checks: Sequence[Check]) -> DataFrame:
-    """All checks of one model from one pass over it.
+def _null_rows(models: Mapping[str, DataFrame], model: str, columns: Sequence[str]) -> DataFrame:
+    """Number of NULLs of each column, all in one pass without a shuffle of rows."""
+    row = null_counts(models[model], columns)
+    return row.unpivot([], row.columns, "column", "failures").select(F.lit(model).alias("model"), "column", F.lit("not_null").alias("check"), "failures")
 
-    The model becomes rows (column, value), counted per value before the shuffle. From those counts follow NULLs,
-    repeated values and, after a join with the parents' keys, orphans. Columns that are only tested for NULL need no
-    values, so theirs are replaced by a constant.
-    """
-    columns = dict.fromkeys(c.column for c in checks)
-    compared = {c.column for c in checks if c.kind != "not_null"}
-    texts = {c: F.col(c).cast("string") if c in compared else F.when(F.col(c).isNotNull(), "") for c in columns}
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text.alias("value")) for c, text in texts.items()])
-    counts = (
-        models[model]
-        .select(F.explode(pairs).alias("p"))
-        .groupBy("p.column", "p.value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    parents = [
-        models[c.parent].select(
-            F.lit(c.column).alias("column"),
-            F.col(c.parent_column).cast("string").alias("value"),
-            F.lit(1).alias("found"),
-        )
-        for c in checks
-        if c.kind == "relationships"
-    ]
-    if parents:
-        known = reduce(DataFrame.unionAll, parents).distinct()
-        counts = counts.join(known, ["column", "value"], "left")
-    else:
-        counts = counts.withColumn("found", F.lit(None).cast("int"))
-    has_value = F.col("value").isNotNull()
-    failures = counts.groupBy("column").agg(
-        F.sum(F.when(~has_value, F.col("n"))).alias("not_null"),
-        F.count_if(has_value & (F.col("n") > 1)).alias("unique"),
-        F.sum(F.when(has_value & F.col("found").isNull(), F.col("n"))).alias("relationships"),
-    )
-    declared = models[model].sparkSession.createDataFrame(
-        [(c.model, c.column, c.kind) for c in checks], "model string, column string, check string"
-    )
-    result = reduce(
-        lambda value, kind: value.when(F.col("check") == kind, F.col(kind)),
-        ("unique", "relationships"),
-        F.when(F.col("check") == "not_null", F.col("not_null")),
-    )
-    # an empty model has no counts and fails no check
-    return declared.join(failures, "column", "left").select(
-        "model", "column", "check", F.coalesce(result, F.lit(0)).cast("bigint").alias("failures")
+
+def _one_row(failures: DataFrame, check: Check) -> DataFrame:
+    return failures.select(
+        F.lit(check.model).alias("model"), F.lit(check.column).alias("column"), F.lit(check.kind).alias("check"), "failures"
     )
 
 
+def _repeated(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    return _one_row(duplicate_keys(models[check.model], check.column).agg(F.count(F.lit(1)).alias("failures")), check)
+
+
+def _parentless(models: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    """Rows whose key has no parent, the keys compared in their common type; text and another type meet as text.
+
+    Each check looks at its own parent only. The child is counted per key before the join.
+    """
+    child, parent = models[check.model], models[check.parent].select(F.col(check.parent_column).alias("__parent"))
+    kinds = {child.schema[check.column].dataType, parent.schema["__parent"].dataType}
+    used = child.filter(F.col(check.column).isNotNull()).groupBy(F.col(check.column).alias("__key")).agg(F.count(F.lit(1)).alias("n"))
+    key, other = F.col("__key"), F.col("__parent")
+    if len(kinds) > 1 and any(isinstance(k, T.StringType) for k in kinds):
+        key, other = key.cast("string"), other.cast("string")
+    missing = used.join(parent, key == other, "left_anti")
+    return _one_row(missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")), check)
+
+
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(model, column, check, failures) for each declared check.
 
-    Failures are NULL rows, values that repeat, or rows without a parent; NULL keys count for ``not_null`` only.
-    Models that are costly to compute should be written first and read back.
+    Failures are NULL rows, values that repeat, or rows without a parent; NULL keys count for ``not_null`` only. All NULL
+    tests of a model take one pass; every other check shuffles the counts of its key once. Models that are costly to
+    compute should be written first and read back.
     """
-    by_model: dict[str, list[Check]] = {}
+    nulls: dict[str, list[str]] = {}
     for check in checks:
-        by_model.setdefault(check.model, []).append(check)
-    return reduce(DataFrame.unionAll, (_check_model(models, m, group) for m, group in by_model.items()))
+        if check.kind == "not_null":
+            nulls.setdefault(check.model, []).append(check.column)
+    parts = [_null_rows(models, model, columns) for model, columns in nulls.items()]
+    parts += [_repeated(models, c) for c in checks if c.kind == "unique"]
+    parts += [_parentless(models, c) for c in checks if c.kind == "relationships"]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def rank_check(cleaned: DataFrame, ranked: DataFrame, cols: TripColumns = RAW) -> DataFrame:
-    """For every (zone, hour): the rank-one fares against the maximum fare computed on its own."""
+    """For every (zone, hour) of either table: the rank-one fares against the maximum fare computed on its own."""
     keys = [cols.pickup_zone, HOUR]
     first = (
         ranked.filter(F.col(RANK) == 1)
@@ -123,20 +109,20 @@ def rank_check(cleaned: DataFrame, ranked: DataFrame, cols: TripColumns = RAW) -
     )
     best = cleaned.groupBy(cols.pickup_zone, F.hour(cols.pickup).alias(HOUR)).agg(F.max(cols.fare).alias("max_fare"))
     agree = F.col("max_fare").eqNullSafe(F.col("lowest_first")) & F.col("max_fare").eqNullSafe(F.col("highest_first"))
-    return join_null_safe(best, first, keys, "left").withColumn("ok", agree)
+    return join_null_safe(best, first, keys, "full_outer").withColumn("ok", agree)
 
 
 def rolling_check(
     cleaned: DataFrame, rolling: DataFrame, cols: TripColumns = RAW, window: int = ROLLING_SECONDS
 ) -> DataFrame:
-    """For every zone: the count at its latest pickup against a recount of its rows in that window."""
+    """For every zone of either table: the count at its latest pickup against a recount of its rows in that window."""
     zone = cols.pickup_zone
     times = cleaned.select(zone, epoch_seconds(cols.pickup).alias(SECOND))
     anchors = times.groupBy(F.col(zone).alias("__zone")).agg(F.max(SECOND).alias("anchor"))
     inside = (F.col(SECOND) >= F.col("anchor") - window) & (F.col(SECOND) <= F.col("anchor"))
-    anchored = lookup_join(times, anchors, F.col(zone).eqNullSafe(F.col("__zone")))
+    anchored = times.join(anchors, F.col(zone).eqNullSafe(F.col("__zone")))
     recount = anchored.groupBy(zone, "anchor").agg(F.count_if(inside).alias("recount"))
     claimed = rolling.groupBy(zone).agg(F.max_by(ROLLING, SECOND).alias("window_count"))
-    return join_null_safe(recount, claimed, [zone], "left").withColumn(
+    return join_null_safe(recount, claimed, [zone], "full_outer").withColumn(
         "ok", F.col("window_count").eqNullSafe(F.col("recount"))
     )

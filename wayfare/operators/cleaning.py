@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayfare.functions import duration_minutes_whole, fingerprint, fingerprint_sql, initials
+from wayfare.functions import fingerprint, fingerprint_sql, initials
 from wayfare.schemas import MIN_FARE, RAW, ZONE_RANGE, TripColumns
 
 KEY = "trip_fingerprint"
@@ -16,25 +16,25 @@ DURATION = "trip_duration_minutes"
 NAME = "driver_name"
 
 
-def is_valid_trip(
-    cols: TripColumns = RAW,
-    fare: Column | None = None,
-    min_fare: float = MIN_FARE,
-    zones: tuple[int, int] = ZONE_RANGE,
-) -> Column:
-    """Fare high enough, end after start, both zones in range. NULL in any term makes the whole test not true.
-
-    ``fare`` replaces the fare column, for instance by its rounded value.
-    """
-    fare = F.col(cols.fare) if fare is None else fare
+def valid_trip_sql(cols: TripColumns = RAW, min_fare: float = MIN_FARE, zones: tuple[int, int] = ZONE_RANGE) -> str:
+    """Fare high enough, end after start, both zones in range. NULL in any term makes the whole test not true."""
+    low, high = zones
     return (
-        (fare >= min_fare)
-        & (F.col(cols.dropoff) > F.col(cols.pickup))
-        & F.col(cols.pickup_zone).between(*zones)
-        & F.col(cols.dropoff_zone).between(*zones)
+        f"{cols.fare} >= {float(min_fare)}D and {cols.dropoff} > {cols.pickup}"
+        f" and {cols.pickup_zone} between {low} and {high} and {cols.dropoff_zone} between {low} and {high}"
     )
 
 
+def is_valid_trip(cols: TripColumns = RAW, min_fare: float = MIN_FARE, zones: tuple[int, int] = ZONE_RANGE) -> Column:
+    return F.expr(valid_trip_sql(cols, min_fare, zones))
+
+
+def derived_sql(df: DataFrame, cols: TripColumns = RAW, null_token: str | None = None) -> dict[str, str]:
+    """The added columns of a cleaned trip as SQL text. ``60.0D`` is a double; ``60.0`` would be a decimal and round."""
+    seconds = f"unix_timestamp({cols.dropoff}) - unix_timestamp({cols.pickup})"
+    return {DURATION: f"({seconds}) / 60.0D", KEY: fingerprint_sql(df, null_token=null_token)}
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the first by ``order_by``, ties broken by all other columns, so the choice is repeatable.
 
@@ -76,11 +76,8 @@ def clean_trips(
 
     The filter is written first; Spark carries it into the file scan.
     """
-    kept = df.filter(is_valid_trip(cols, min_fare=min_fare, zones=zones)).select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        duration_minutes_whole(cols.pickup, cols.dropoff).alias(DURATION),
-        fingerprint(df, null_token=null_token).alias(KEY),
-    )
+    added = {name: F.expr(text) for name, text in derived_sql(df, cols, null_token).items()}
+    kept = df.filter(is_valid_trip(cols, min_fare, zones)).withColumns(added)
     return mask_name(keep_first(kept, [KEY], [cols.pickup]))
 
 
@@ -91,25 +88,19 @@ def clean_trips_sql(
     min_fare: float = MIN_FARE,
     zones: tuple[int, int] = ZONE_RANGE,
 ) -> DataFrame:
-    """The same table by one piped SQL statement over a temporary view; names are dropped rather than masked.
-
-    ``60.0D`` is a double: a bare ``60.0`` is a decimal in Spark SQL and would round the duration.
-    """
+    """The same table by SQL over a temporary view, from the same texts; names are dropped rather than masked."""
     df.createOrReplaceTempView(view)
+    added = ", ".join(f"{text} as {name}" for name, text in derived_sql(df, cols).items())
+    valid = df.sparkSession.sql(f"select *, {added} from {view} where {valid_trip_sql(cols, min_fare, zones)}")
+    valid.createOrReplaceTempView(f"{view}_valid")
     others = [f"`{c}`" for c in df.columns if c.lower() != cols.pickup.lower()]
+    place = f"row_number() over (partition by {KEY} order by {', '.join([cols.pickup, *others])})"
     name = _find(df, NAME)
-    low, high = zones
+    hidden = ["__position", *([f"`{name}`"] if name else [])]
     return df.sparkSession.sql(
-        f"""
-        from {view}
-        |> where {cols.fare} >= {min_fare}D and {cols.pickup} < {cols.dropoff}
-        |> where {cols.pickup_zone} between {low} and {high} and {cols.dropoff_zone} between {low} and {high}
-        |> extend (unix_timestamp({cols.dropoff}) - unix_timestamp({cols.pickup})) / 60.0D as {DURATION},
-                  {fingerprint_sql(df)} as {KEY}
-        |> extend row_number() over (partition by {KEY} order by {", ".join([cols.pickup, *others])}) as __position
-        |> where __position = 1
-        |> drop __position{f", `{name}`" if name else ""}
-        """
+        f"""select * except ({", ".join(hidden)})
+            from (select *, {place} as __position from {view}_valid)
+            where __position = 1"""
     )
 
 

@@ -49,26 +49,25 @@ def merge_history(
     ``source`` and among the open rows. The result must not be written over the files that ``history`` is read from.
     """
     attributes = [c for c in history.columns if c not in (key, FROM, TO)]
-    now = F.lit(as_of).cast("timestamp")
-    old = history.filter(F.col(TO).isNull()).select(F.col(key), F.struct(*attributes, FROM).alias("old"))
-    new = source.select(F.col(key), F.struct(*attributes).alias("new"))
+    now, no_end = F.lit(as_of).cast("timestamp"), F.lit(None).cast("timestamp")
+    # closed rows carry another flag than any source row, so they pass the join unmatched, spread by their keys
+    old = history.select(F.struct(key, *attributes, FROM, TO).alias("old"), F.col(key).alias("k"), F.col(TO).isNull().alias("open"))
+    new = source.select(F.struct(key, *attributes).alias("new"), F.col(key).alias("k"), F.lit(True).alias("open"))
     differs = reduce(lambda a, b: a | b, (~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in checked))
 
     def version(side: str, start: Column, end: Column) -> Column:
-        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in attributes], start.alias(FROM), end.alias(TO))
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in (key, *attributes)], start.alias(FROM), end.alias(TO))
 
-    no_end = F.lit(None).cast("timestamp")
     opened = version("new", now, no_end)
-    kept = version("old", F.col(f"old.{FROM}"), no_end)
+    kept = version("old", F.col(f"old.{FROM}"), F.col(f"old.{TO}"))
     closed = version("old", F.col(f"old.{FROM}"), now)
     versions = (
         F.when(F.col("old").isNull(), F.array(opened))
         .when(F.col("new").isNull() | ~differs, F.array(kept))
         .otherwise(F.array(closed, opened))
     )
-    open_rows = old.join(new, key, "full_outer").select(key, F.explode(versions).alias("v")).select(key, "v.*")
-    past = history.filter(F.col(TO).isNotNull())
-    return past.unionByName(open_rows).select(*history.columns)
+    joined = old.join(new, ["k", "open"], "full_outer")
+    return joined.select(F.explode(versions).alias("v")).select("v.*").select(*history.columns)
 
 
 def versions_of(history: DataFrame, key: str, value: object) -> DataFrame:

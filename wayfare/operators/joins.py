@@ -56,13 +56,17 @@ def merge_join(fact: DataFrame, lookup: DataFrame, on: Column | str | Sequence[s
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on equally named columns, with NULL equal to NULL. The keys of the right side are not repeated."""
+    """Join on equally named columns, with NULL equal to NULL. The keys of the right side are not repeated; rows that
+    only the right side has bring their keys along."""
     right_keys = {k: f"__right_{k}" for k in keys}
     renamed = right.select(
         *[F.col(k).alias(r) for k, r in right_keys.items()], *[c for c in right.columns if c not in right_keys]
     )
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(r)) for k, r in right_keys.items()))
-    return left.join(renamed, same, how).drop(*right_keys.values())
+    joined = left.join(renamed, same, how)
+    if how in ("full_outer", "fullouter", "full", "outer", "right", "right_outer", "rightouter"):
+        joined = joined.withColumns({k: F.coalesce(k, r) for k, r in right_keys.items()})
+    return joined.drop(*right_keys.values())
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

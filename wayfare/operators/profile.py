@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def partition_rows(df: DataFrame) -> DataFrame:
-    """Rows in each partition of ``df``, with 0 for empty partitions."""
-    partitions = df.rdd.getNumPartitions()
-    counts = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n"))
-    every = df.sparkSession.range(partitions).select(F.col("id").cast("int").alias("partition_id"))
+    """Rows in each partition of ``df``, with 0 for empty partitions.
+
+    All columns are kept in the counted plan, since adaptive execution sizes partitions by their bytes. Behind an adaptive
+    shuffle the partitions are those that the run itself made, up to the last one with rows.
+    """
+    columns = [F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    kept = F.max(F.xxhash64(*columns)) if columns else F.lit(None)
+    counts = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n"), kept.alias("kept"))
+    counts = counts.filter("n > 0 or kept is not null").select("partition_id", "n")
+    if adaptive(df):
+        every = counts.agg(F.explode(F.sequence(F.lit(0), F.max("partition_id"))).alias("partition_id"))
+    else:
+        every = df.sparkSession.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition_id"))
     return every.join(counts, "partition_id", "left").select("partition_id", F.coalesce("n", F.lit(0)).alias("rows"))
 
 
+def adaptive(df: DataFrame) -> bool:
+    """Whether the plan of ``df`` is adapted while it runs, so that its partitions are not known beforehand."""
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        df.explain("simple")
+    return "AdaptiveSparkPlan" in text.getvalue()
+
+
 def partition_skew(df: DataFrame) -> DataFrame:
     """One row: partitions, empty ones, smallest, largest and mean size, and largest by mean."""
     populated = F.when(F.col("rows") > 0, F.col("rows"))

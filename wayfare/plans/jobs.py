@@ -11,21 +11,41 @@ from wayfare.operators.checks import rank_check, rolling_check, run_checks
 from wayfare.operators.cleaning import clean_trips, clean_trips_sql
 from wayfare.operators.comparison import compare_rows
 from wayfare.operators.history import merge_history, start_history
-from wayfare.operators.profile import partition_skew, schema_rows
+from wayfare.operators.joins import lookup_join, merge_join
+from wayfare.operators.profile import partition_rows, partition_skew, schema_rows
 from wayfare.operators.ranking import busiest_groups, rank_trips_by_fare
 from wayfare.operators.rolling import rolling_trip_count
 from wayfare.plans import reports, tuning
-from wayfare.plans.warehouse import CHECKS, HISTORY_CHECKED, HISTORY_KEY, build_models, fact_trips
-from wayfare.schemas import MIN_FARE, RAW, ZONE_RANGE
+from wayfare.plans.warehouse import CHECKS, HISTORY_CHECKED, HISTORY_KEY, build_models, fact_trips, split_unfit
+from wayfare.schemas import MIN_FARE, RAW, STAGED, ZONE_RANGE
 from wayfare.sources.versioned import VersionedTable
 
 
-def _write(spark: SparkSession, folder: str, df: DataFrame, written_at: datetime) -> DataFrame:
+def _write(spark: SparkSession, folder: str, df: DataFrame, written_at: datetime, cluster_by: list[str]) -> DataFrame:
+    """Write a table in files of the target size, clustered by the columns it is read by."""
     table = VersionedTable(spark, folder)
-    table.write(df, committed_at=written_at)
+    table.write(df, cluster_by, committed_at=written_at)
     return table.read()
 
 
+def _file_report(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
+    """Files, rows and bytes of the current version of each table."""
+    return reports.combine(
+        [
+            reports.from_row(
+                VersionedTable(spark, f"{folder}/{name}").files().agg(
+                    F.count(F.lit(1)).alias("files"),
+                    F.sum("record_count").alias("rows"),
+                    F.sum("file_size_in_bytes").alias("bytes"),
+                    F.max("file_size_in_bytes").alias("largest_file"),
+                ),
+                name,
+            )
+            for name in names
+        ]
+    )
+
+
 def run_lakehouse(
     raw: DataFrame,
     zones: DataFrame,
@@ -40,9 +60,10 @@ def run_lakehouse(
     deduplication. ``measure`` adds the timed comparisons, which run their queries several times.
     """
     spark, now = raw.sparkSession, datetime.now(timezone.utc)
-    cleaned = _write(spark, f"{folder}/trips_silver", clean_trips(raw, RAW, min_fare, zone_range), now)
-    ranked = _write(spark, f"{folder}/trips_gold", rank_trips_by_fare(cleaned), now)
-    rolling = _write(spark, f"{folder}/trips_gold_rolling_7d", rolling_trip_count(cleaned), now)
+    by_zone = [RAW.pickup_zone]
+    cleaned = _write(spark, f"{folder}/trips_silver", clean_trips(raw, RAW, min_fare, zone_range), now, by_zone)
+    ranked = _write(spark, f"{folder}/trips_gold", rank_trips_by_fare(cleaned), now, by_zone)
+    rolling = _write(spark, f"{folder}/trips_gold_rolling_7d", rolling_trip_count(cleaned), now, by_zone)
 
     raw_rows, cleaned_rows = raw.count(), cleaned.count()
     dropped = (raw_rows - cleaned_rows) / raw_rows * 100 if raw_rows else None
@@ -51,13 +72,24 @@ def run_lakehouse(
         "profile": reports.combine(
             [
                 reports.from_row(partition_skew(raw), "partitions"),
+                reports.from_pairs(partition_rows(raw), "rows_per_partition"),
                 reports.from_schema(schema_rows(raw), "schema"),
                 reports.from_values(
                     spark, "retention", {"raw": raw_rows, "cleaned": cleaned_rows, "dropped_pct": dropped}
                 ),
             ]
         ),
-        "equivalence": reports.from_row(compare_rows(by_sql, cleaned), "sql_and_dataframe"),
+        "equivalence": reports.combine(
+            [
+                reports.from_row(compare_rows(by_sql, cleaned), "sql_and_dataframe"),
+                reports.from_values(
+                    spark,
+                    "plans",
+                    {"sql": reports.plan_text(by_sql), "dataframe": reports.plan_text(clean_trips(raw, RAW, min_fare, zone_range))},
+                ),
+            ]
+        ),
+        "files": _file_report(spark, folder, ["trips_silver", "trips_gold", "trips_gold_rolling_7d"]),
         "windows": reports.combine(
             [
                 reports.from_row(busiest_groups(cleaned), "busiest_group"),
@@ -68,9 +100,11 @@ def run_lakehouse(
     }
     if measure:
         on = F.col(RAW.pickup_zone) == F.col("LocationID")
+        joined = {"broadcast": lookup_join(cleaned, zones, on), "merge": merge_join(cleaned, zones, on)}
         result["tuning"] = reports.combine(
             [
                 tuning.compare_joins(cleaned, zones, on),
+                reports.from_values(spark, "join_plans", {name: reports.plan_text(df) for name, df in joined.items()}),
                 tuning.compare_shuffle_partitions(cleaned),
                 tuning.compare_output_files(cleaned),
             ]
@@ -93,13 +127,19 @@ def run_warehouse(
     zone_range: tuple[int, int] = ZONE_RANGE,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Write every model and the location history below ``folder`` and return the results of the declared checks."""
+    """Write every model and the location history below ``folder`` and return the results of the declared checks.
+
+    Raw rows with a value that its type can't hold are not staged but kept in ``stg_trips_unfit``.
+    """
     spark, as_of = raw_trips.sparkSession, as_of or datetime.now(timezone.utc)
-    models = build_models(raw_trips, raw_zones, days, min_fare, zone_range)
-    staged = _write(spark, f"{folder}/stg_trips", models["stg_trips"], as_of)
+    fit, unfit = split_unfit(raw_trips)
+    models = build_models(fit, raw_zones, days, min_fare, zone_range)
+    staged = _write(spark, f"{folder}/stg_trips", models["stg_trips"], as_of, [STAGED.pickup_zone])
+    VersionedTable(spark, f"{folder}/stg_trips_unfit").write(unfit, committed_at=as_of)
     models.update(stg_trips=staged, fact_trips=fact_trips(staged))
+    keys = {"fact_trips": STAGED.pickup_zone}
     written = {
-        name: staged if name == "stg_trips" else _write(spark, f"{folder}/{name}", model, as_of)
+        name: staged if name == "stg_trips" else _write(spark, f"{folder}/{name}", model, as_of, [keys.get(name, model.columns[0])])
         for name, model in models.items()
     }
     update_history(written["dim_location"], f"{folder}/location_history", as_of)

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wayfare.functions import (
     duration_minutes_exact,
@@ -23,11 +24,10 @@ from wayfare.functions import (
 )
 from wayfare.operators import checks, cleaning, comparison, history, joins, profile, ranking, rolling
 from wayfare.plans import reports, warehouse
-from wayfare.schemas import RAW
+from wayfare.schemas import FINGERPRINT, RAW, TRIPS
 from wayfare.session import work_folder
-from wayfare.sources import sinks
+from wayfare.sources import readers, sinks
 from wayfare.sources.generated import date_series
-from wayfare.sources.readers import conform
 from wayfare.sources.versioned import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,22 +191,9 @@ def _sql_hash(columns: list[tuple[str, str]], token: str | None = None) -> str:
     return f"sha256(concat_ws('||', {', '.join(parts)}))"
 
 
-TRIP_KINDS = [
-    ("VendorID", "int"),
-    ("tpep_pickup_datetime", "ts"),
-    ("tpep_dropoff_datetime", "ts"),
-    ("passenger_count", "int"),
-    ("trip_distance", "dec"),
-    ("RatecodeID", "int"),
-    ("store_and_fwd_flag", "str"),
-    ("PULocationID", "int"),
-    ("DOLocationID", "int"),
-    ("payment_type", "int"),
-    *[
-        (c, "dec")
-        for c in "fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge total_amount".split()
-    ],
-]
+# the columns of the fingerprint that the test trips have
+ABSENT = {"congestion_surcharge", "Airport_fee", "driver_name"}
+TRIP_KINDS = [(name, kind) for name, kind in FINGERPRINT if name not in ABSENT]
 SQL_HASH = _sql_hash(TRIP_KINDS)
 SQL_NAMED_HASH = _sql_hash([*TRIP_KINDS, ("driver_name", "str")])
 RAW_NAMES = ", ".join(c for c, _ in TRIP_KINDS)
@@ -521,7 +508,7 @@ def star_lookup(spark: SparkSession, folder: str) -> DataFrame:
         cast(null as double) as Airport_fee, cast(null as varchar) as driver_name from trips"""
 )
 def schema_conform(spark: SparkSession, folder: str) -> DataFrame:
-    return conform(trips(spark, folder).withColumn("undeclared", F.lit(1)))
+    return readers.conform(trips(spark, folder).withColumn("undeclared", F.lit(1)))
 
 
 @register(f"with {SQL_STAGED} select * from stg_trips")
@@ -606,6 +593,36 @@ def declared_checks(spark: SparkSession, folder: str) -> DataFrame:
     return checks.run_checks(built, warehouse.CHECKS)
 
 
+SQL_FAULTS = """child as (
+        select case when l_linenumber = 7 then null else l_suppkey end as supplier, cast(l_partkey as double) as part,
+               case when l_linenumber < 3 then l_orderkey end as code from lineitem),
+    one as (select s_suppkey from supplier where s_acctbal >= 1000), two as (select s_suppkey from supplier where s_acctbal < 5000),
+    parts as (select cast(p_partkey as integer) as p_partkey from part where p_size > 10)"""
+
+
+FAULT_CHECKS = [
+    *checks.not_null("child", "supplier", "code"),
+    *checks.unique("child", "code", "part"),
+    *checks.relationship("child", "part", "parts", "p_partkey"),
+    *checks.relationship("child", "supplier", "one", "s_suppkey"),
+    *checks.relationship("child", "supplier", "two", "s_suppkey"),
+]
+
+
+@register(f"with {SQL_FAULTS} " + " union all ".join(map(_sql_check, FAULT_CHECKS)))
+def declared_checks_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks that fail: NULLs, repeats, a double key with an integer parent, one column with two parents."""
+    line, supplier = F.col("l_linenumber"), table(spark, folder, "supplier")
+    child = table(spark, folder, "lineitem").select(
+        F.when(line != 7, F.col("l_suppkey")).alias("supplier"),
+        F.col("l_partkey").cast("double").alias("part"),
+        F.when(line < 3, F.col("l_orderkey")).alias("code"),
+    )
+    parts = table(spark, folder, "part").filter("p_size > 10").select(F.col("p_partkey").cast("int"))
+    faulty = {"child": child, "one": supplier.filter("s_acctbal >= 1000"), "two": supplier.filter("s_acctbal < 5000"), "parts": parts}
+    return checks.run_checks(faulty, FAULT_CHECKS)
+
+
 SQL_SIDES = """l as (select l_suppkey, l_partkey, l_quantity from lineitem),
     r as (select l_suppkey, l_partkey, l_quantity + case when l_linenumber = 3 then 1 else 0 end as l_quantity
           from lineitem where l_linenumber <> 5)"""
@@ -676,7 +693,7 @@ def rolling_spot_check(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- history ----------------------------------------------------------------------------------------------------
 
-INSTANTS = [datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1)]
+INSTANTS = [datetime(2024, month, 1, tzinfo=timezone.utc) for month in (1, 2, 3)]
 SQL_HISTORY = f"""{SQL_LOCATION}, located as (
         select d.*, s_acctbal from dim_location d join supplier on location_id = s_suppkey),
     v1 as (select location_id, borough, zone_name, service_zone from located where s_acctbal >= 1000),
@@ -714,6 +731,7 @@ def _history(spark: SparkSession, folder: str) -> DataFrame:
     first, *later = _versions(spark, folder)
     result = history.start_history(first, INSTANTS[0])
     for version, instant in zip(later, INSTANTS[1:], strict=True):
+        # each merge reads the history once, so the plan grows by one scan of the locations
         result = history.merge_history(result, version, warehouse.HISTORY_KEY, warehouse.HISTORY_CHECKED, instant)
     return result.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (history.FROM, history.TO)})
 
@@ -743,9 +761,12 @@ def scd2_invariants(spark: SparkSession, folder: str) -> DataFrame:
 )
 def scd2_history_key(spark: SparkSession, folder: str) -> DataFrame:
     """All versions of the key with most versions, the lowest such key on a tie."""
-    rows = _history(spark, folder)
-    key = history.changed_keys(rows, "location_id").orderBy(F.desc("versions"), "location_id").first()
-    return history.versions_of(rows, "location_id", key.location_id)
+    per_key = F.count(F.lit(1)).over(Window.partitionBy("location_id"))
+    rows = _history(spark, folder).withColumn("__first", F.struct(per_key.alias("n"), (-F.col("location_id")).alias("key")))
+    best = rows.agg(F.max("__first").alias("__best"))
+    # one row, as it is an aggregate without keys
+    found = rows.join(F.broadcast(best), F.col("__first") == F.col("__best")).drop("__first", "__best")
+    return found.orderBy(history.FROM)
 
 
 @register(
@@ -784,7 +805,7 @@ def versioned_overwrite(spark: SparkSession, folder: str) -> DataFrame:
 def versioned_earlier(spark: SparkSession, folder: str) -> DataFrame:
     """The replaced version, found through the parent of the current one."""
     target = _two_commits(spark, folder)
-    return target.read(target.snapshots().filter("operation = 'overwrite'").first().parent_id)
+    return target.read(target.snapshots().collect()[-1].parent_id)
 
 
 @register(
@@ -794,28 +815,9 @@ def versioned_earlier(spark: SparkSession, folder: str) -> DataFrame:
        select timestamp '2024-02-01', 'overwrite', true, count(*) from lineitem where l_linestatus = 'F'"""
 )
 def snapshot_log(spark: SparkSession, folder: str) -> DataFrame:
-    target = _two_commits(spark, folder)
-    snapshots = target.snapshots().collect()
-    counts = [target.read(s.snapshot_id).agg(F.count(F.lit(1)).alias("rows")) for s in snapshots]
-    rows = [
-        c.select(
-            F.lit(s.committed_at).cast("timestamp_ntz").alias("committed_at"),
-            F.lit(s.operation).alias("operation"),
-            F.lit(s.parent_id is not None).alias("has_parent"),
-            "rows",
-        )
-        for s, c in zip(snapshots, counts, strict=True)
-    ]
-    return reports.combine(rows)
-
-
-@register(
-    """select made_current_at, true as is_current_ancestor
-       from (values (timestamp '2024-01-01'), (timestamp '2024-02-01')) as c(made_current_at)"""
-)
-def snapshot_history(spark: SparkSession, folder: str) -> DataFrame:
-    made = F.col("made_current_at").cast("timestamp_ntz").alias("made_current_at")
-    return _two_commits(spark, folder).history().select(made, "is_current_ancestor")
+    log = _two_commits(spark, folder).snapshots()
+    made = F.col("committed_at").cast("timestamp_ntz").alias("committed_at")
+    return log.select(made, "operation", F.col("parent_id").isNotNull().alias("has_parent"), F.col("record_count").alias("rows"))
 
 
 @register("select count(*) as rows, true as every_file_has_size from lineitem where l_linestatus = 'F'")
@@ -852,13 +854,167 @@ def table_sink(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def _fare_files(spark: SparkSession, folder: str) -> str:
+    """Trips in one file for each line status, named as monthly files are; one of them has wider types."""
+    base = work_folder(spark, "trip-files")
+    rows = trips(spark, folder).withColumn("status", F.when(F.col("store_and_fwd_flag").isNull(), "O").otherwise("F"))
+    rows.filter("status = 'F'").drop("status").write.parquet(f"{base}/yellow_tripdata_F.parquet")
+    rows.filter("status = 'O'").drop("status").write.parquet(f"{base}/yellow_tripdata_O.parquet")
+    rows.limit(0).write.parquet(f"{base}/other.parquet")
+    return base
+
+
+@register(
+    f"""with {SQL_TRIPS} select case when store_and_fwd_flag is null then 'O' else 'F' end as month, count(*) as trips,
+        cast(sum(passenger_count) as bigint) as passengers, cast(count(congestion) as bigint) as surcharges
+        from (select *, null as congestion from trips) group by 1"""
+)
+def many_file_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Several trip files read as one table by the declared schema, with the file that each row comes from."""
+    rows = readers.read_trips(spark, _fare_files(spark, folder), schema=TRIPS, lineage="source_file")
+    month = F.regexp_extract("source_file", r"yellow_tripdata_([A-Z])", 1).alias("month")
+    return rows.groupBy(month).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("passenger_count").alias("passengers"),
+        F.count("congestion_surcharge").alias("surcharges"),
+    )
+
+
+@register(f"with {SQL_ZONES} select * from zones")
+def csv_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The zones as a CSV file with a header, read back by the declared schema."""
+    path = work_folder(spark, "zones-csv")
+    zones(spark, folder).write.csv(path, header=True)
+    return readers.read_zones(spark, path)
+
+
+@register("select * from orders where o_orderstatus <> 'F'")
+def parquet_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder of Parquet files replaced by others."""
+    path, orders = work_folder(spark, "overwrite"), table(spark, folder, "orders")
+    sinks.write_parquet(orders, path)
+    sinks.write_parquet(orders.filter("o_orderstatus <> 'F'"), path)
+    return spark.read.parquet(path)
+
+
+@register(
+    """select 'before' as step, false as present, 0::bigint as rows
+       union all select 'written', true, count(*) from supplier
+       union all select 'dropped', false, 0::bigint union all select 'with its namespace', false, 0::bigint"""
+)
+def table_lifecycle(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a catalog table is there before it is written, after it, after its drop and after that of its namespace."""
+    name = "wayfare_steps.supplier"
+    sinks.create_namespace(spark, "wayfare_steps", work_folder(spark, "steps"))
+    sinks.drop_table(spark, name)
+    steps = []
+
+    def look(step: str) -> None:
+        present = sinks.table_exists(spark, name)
+        steps.append((step, present, spark.table(name).count() if present else 0))
+
+    look("before")
+    sinks.write_table(table(spark, folder, "supplier"), name)
+    look("written")
+    sinks.drop_table(spark, name)
+    look("dropped")
+    sinks.write_table(table(spark, folder, "supplier"), name)
+    sinks.drop_namespace(spark, "wayfare_steps")
+    look("with its namespace")
+    return spark.createDataFrame(steps, "step string, present boolean, rows bigint")
+
+
+@register(
+    """select s_suppkey, s_name, not exists (select 1 from supplier t where t.s_suppkey = m + 1) as next_is_missing
+       from supplier join (select max(s_suppkey) as m from supplier) on s_suppkey = m"""
+)
+def point_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One row by its key, and the error for a key that no row has."""
+    suppliers = table(spark, folder, "supplier")
+    last = suppliers.agg(F.max("s_suppkey")).first()[0]
+    row = history.find_row(suppliers, "s_suppkey", last)
+    try:
+        history.find_row(suppliers, "s_suppkey", last + 1)
+        missing = False
+    except LookupError:
+        missing = True
+    return spark.createDataFrame([(row.s_suppkey, row.s_name, missing)], "s_suppkey bigint, s_name string, next_is_missing boolean")
+
+
+@register(
+    """select cast(column_index - 1 as integer) as position, column_name as "column",
+              case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
+                             when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' else data_type end as type,
+              is_nullable as nullable
+       from duckdb_columns() where table_name = 'lineitem'"""
+)
+def schema_report(spark: SparkSession, folder: str) -> DataFrame:
+    return profile.schema_rows(table(spark, folder, "lineitem"))
+
+
+# --- values that do not fit -------------------------------------------------------------------------------------
+
+SQL_FAULTY = f"""with {SQL_TRIPS}, faulty as (
+    select * replace (case when VendorID = 1 then 1e8 when VendorID = 2 then 2e10 when VendorID = 3 then 3e10
+                           else fare_amount end as fare_amount), VendorID = 4 as bad_count from trips)"""
+
+
+def _faulty_trips(spark: SparkSession, folder: str) -> DataFrame:
+    """Trips with fares beyond the staged type, and beyond the hashed one, and counts that are no number."""
+    vendor = F.col("VendorID")
+    fare = F.when(vendor == 1, 1e8).when(vendor == 2, 2e10).when(vendor == 3, 3e10).otherwise(F.col("fare_amount"))
+    count = F.when(vendor == 4, F.lit("four")).otherwise(F.col("passenger_count").cast("string"))
+    return trips(spark, folder).withColumn("fare_amount", fare).withColumn("passenger_count", count)
+
+
+@register(
+    f"""{SQL_FAULTY} select case when VendorID in (1, 2, 3) then 'fare_amount' when bad_count then 'passenger_count' else '' end
+        as unfit, count(*) as rows from faulty group by 1"""
+)
+def unfit_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every raw row, staged or set aside, by the columns whose values do not fit."""
+    fit, unfit = warehouse.split_unfit(_faulty_trips(spark, folder))
+    names = unfit.select(F.array_join("unfit", ",").alias("unfit")).unionAll(fit.select(F.lit("").alias("unfit")))
+    return names.groupBy("unfit").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register(
+    f"""{SQL_FAULTY} select 'passenger_count' as "column", count(*) as unreadable from faulty where bad_count"""
+)
+def unreadable_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns with values that their declared types can't hold."""
+    return readers.unreadable_counts(_faulty_trips(spark, folder)).filter("unreadable > 0")
+
+
+@register(
+    f"""{SQL_FAULTY}, valid as (select distinct * from faulty where {SQL_VALID})
+        select (fare_amount >= 1e8) as large, count(*) as rows from valid group by 1"""
+)
+def large_fares_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned trips with and without a fare beyond the hashed type: none merges with another."""
+    faulty = _faulty_trips(spark, folder)
+    return cleaning.clean_trips(faulty, **RULES).groupBy((F.col("fare_amount") >= 1e8).alias("large")).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+
+
 # --- profile ----------------------------------------------------------------------------------------------------
 
 
-@register("select count(*) as total_rows from lineitem")
+@register("select count(*) as total_rows, true as consistent from lineitem")
 def partition_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.partition_rows(table(spark, folder, "lineitem").repartition(16, "l_suppkey")).agg(
-        F.sum("rows").alias("total_rows")
+    """Rows of all partitions together, and whether the balance report agrees with itself."""
+    skew = profile.partition_skew(table(spark, folder, "lineitem"))
+    mean = F.col("total_rows") / F.col("partitions")
+    return skew.select(
+        "total_rows",
+        (
+            (F.col("partitions") == F.col("populated_partitions") + F.col("empty_partitions"))
+            & F.col("min_rows").cast("double").between(0, F.col("avg_rows"))
+            & (F.col("max_rows") >= F.col("avg_rows"))
+            & (F.abs(F.col("avg_rows") - mean) < 1e-9 * mean)
+            & (F.abs(F.col("skew_ratio") - F.col("max_rows") / mean) < 1e-9)
+        ).alias("consistent"),
     )
 
 

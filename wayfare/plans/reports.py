@@ -23,6 +23,12 @@ def from_row(df: DataFrame, check: str) -> DataFrame:
     return text.unpivot([], text.columns, "metric", "value").select(F.lit(check).alias("check"), "metric", "value")
 
 
+def from_pairs(df: DataFrame, check: str) -> DataFrame:
+    """One report row for each row of a frame of two columns: the metric's name and its value."""
+    name, value = df.columns
+    return df.select(F.lit(check).alias("check"), F.col(name).cast("string").alias("metric"), F.col(value).cast("string").alias("value"))
+
+
 def from_schema(schema: DataFrame, check: str) -> DataFrame:
     null = F.when(F.col("nullable"), " null").otherwise(" not null")
     return schema.select(

@@ -20,9 +20,9 @@ from wayfare.functions import (
 from wayfare.operators.checks import Check, not_null, relationship, unique
 from wayfare.operators.cleaning import KEY, is_valid_trip, keep_first
 from wayfare.operators.joins import Dimension
-from wayfare.schemas import MIN_FARE, PAYMENT_TYPES, RATE_CODES, STAGED, TRIPS, ZONE_RANGE, ZONES
+from wayfare.schemas import MIN_FARE, PAYMENT_TYPES, RATE_CODES, RAW, STAGED, TRIPS, ZONE_RANGE, ZONES
 from wayfare.sources.generated import constant_rows, date_series
-from wayfare.sources.readers import conform
+from wayfare.sources.readers import conform, does_not_fit, strict_cast
 
 # Raw column, staged name and staged type.
 STAGED_TRIP_COLUMNS = [
@@ -42,9 +42,29 @@ STAGED_TRIP_COLUMNS = [
     ("total_amount", "total_amount", "decimal(10,2)"),
 ]
 # Columns of the fact table in order.
-FACT_COLUMNS = """trip_fingerprint vendor_id pickup_datetime dropoff_datetime pickup_date passenger_count trip_distance
-pickup_location_id dropoff_location_id rate_code_id payment_type_id fare_amount extra mta_tax tip_amount tolls_amount
-improvement_surcharge total_amount store_and_fwd_flag driver_initials trip_duration_minutes""".split()
+FACT_COLUMNS = [
+    "trip_fingerprint",
+    "vendor_id",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "pickup_date",
+    "passenger_count",
+    "trip_distance",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "rate_code_id",
+    "payment_type_id",
+    "fare_amount",
+    "extra",
+    "mta_tax",
+    "tip_amount",
+    "tolls_amount",
+    "improvement_surcharge",
+    "total_amount",
+    "store_and_fwd_flag",
+    "driver_initials",
+    "trip_duration_minutes",
+]
 
 # Default range of the date dimension.
 FIRST_DAY, LAST_DAY = "2024-01-01", "2026-12-31"
@@ -84,11 +104,15 @@ HISTORY_KEY, HISTORY_CHECKED = "location_id", ["borough", "zone_name", "service_
 
 
 def stage_trips(raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, int] = ZONE_RANGE) -> DataFrame:
-    """Typed, derived, valid and deduplicated trips. The fare test sees the amount rounded to cents."""
-    raw = conform(raw, TRIPS)
+    """Typed, derived, valid and deduplicated trips. The fare test sees the amount rounded to cents.
+
+    A value that its type can't hold stops the job; ``split_unfit`` sets such rows aside beforehand. Rounding adds half a
+    cent at most, so the test of the raw amount drops nothing that the rounded one keeps, and it reaches the scan.
+    """
+    raw = conform(raw, TRIPS, unreadable="error").filter(F.col(RAW.fare) >= min_fare - 0.01)
     passengers = "passenger_count"
     staged = raw.select(
-        *[F.col(source).try_cast(kind).alias(name) for source, name, kind in STAGED_TRIP_COLUMNS],
+        *[strict_cast(F.col(source), kind, name).alias(name) for source, name, kind in STAGED_TRIP_COLUMNS],
         varchar("store_and_fwd_flag", 1).alias("store_and_fwd_flag"),
         rate_key("VendorID", passengers).alias("rate_code_id"),
         payment_key(passengers).alias("payment_type_id"),
@@ -100,6 +124,23 @@ def stage_trips(raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, in
     return keep_first(valid, [KEY], [STAGED.pickup])
 
 
+def split_unfit(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be staged, and the others with the names of the columns whose values do not fit in ``unfit``."""
+    present = {c.lower(): c for c in raw.columns}
+    kinds = {f.name: [f.dataType] for f in TRIPS.fields}
+    for source, _, kind in STAGED_TRIP_COLUMNS:
+        kinds[source].append(kind)
+    tests = []
+    for name, wanted in kinds.items():
+        if name.lower() in present:
+            value = F.col(f"`{present[name.lower()]}`")
+            misfit = does_not_fit(value, wanted[0]) | does_not_fit(value.try_cast(wanted[0]), wanted[-1])
+            tests.append(F.when(misfit, F.lit(name)))
+    unfit = F.array_compact(F.array(*tests)) if tests else F.array().cast("array<string>")
+    marked = raw.withColumn("unfit", unfit)
+    return marked.filter(F.size("unfit") == 0).drop("unfit"), marked.filter(F.size("unfit") > 0)
+
+
 def stage_zones(raw: DataFrame) -> DataFrame:
     return conform(raw, ZONES).select(
         F.col("LocationID").alias("location_id"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import functools
 import tempfile
@@ -67,6 +68,7 @@ def _local_folder(application_id: str) -> str:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new path under the shared folder that the session names in ``spark.checkpoint.dir``.
 
+    All work folders of an application are removed when its driver ends; ``remove_folder`` does so earlier.
     Only a local session may do without that setting; it then gets a temporary folder of this machine.
     """
     context = spark.sparkContext
@@ -75,4 +77,21 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = _local_folder(context.applicationId)
-    return f"{base.rstrip('/')}/wayfare/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/wayfare/{context.applicationId}"
+    _clear_at_exit(spark, folder)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+@functools.lru_cache
+def _clear_at_exit(spark: SparkSession, folder: str) -> None:
+    def clear() -> None:
+        with contextlib.suppress(Exception):  # the session may be over already
+            remove_folder(spark, folder)
+
+    atexit.register(clear)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder through the file system that holds it; False if there was none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,16 +14,21 @@ TRIP_FILES = "yellow_tripdata_*.parquet"
 
 
 def read_trips(
-    spark: SparkSession, folder: str, pattern: str = TRIP_FILES, schema: T.StructType | None = None
+    spark: SparkSession,
+    folder: str,
+    pattern: str = TRIP_FILES,
+    schema: T.StructType | None = None,
+    lineage: str | None = None,
 ) -> DataFrame:
     """All trip files of ``folder`` as one table.
 
     The pattern is expanded by the file system that holds the folder, so the folder may be remote. Without a
-    schema, column types come from the file footers.
+    schema, column types come from the file footers. ``lineage`` names a column for the path of each row's file.
     """
     reader = spark.read.schema(schema) if schema else spark.read
     try:
-        return reader.parquet(f"{folder.rstrip('/')}/{pattern}")
+        rows = reader.parquet(f"{folder.rstrip('/')}/{pattern}")
+        return rows.select("*", F.col("_metadata.file_path").alias(lineage)) if lineage else rows
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -35,12 +40,50 @@ def read_zones(spark: SparkSession, path: str, schema: T.StructType = ZONES) ->
     return spark.read.csv(path, header=True, schema=schema)
 
 
-def conform(df: DataFrame, schema: T.StructType = TRIPS) -> DataFrame:
-    """Project to the declared columns in declared order; absent ones become NULL, others are dropped."""
+def does_not_fit(value: Column, kind: T.DataType | str) -> Column:
+    """Whether a value is there but has no counterpart in a type."""
+    return value.isNotNull() & value.try_cast(kind).isNull()
+
+
+def strict_cast(value: Column, kind: T.DataType | str, name: str) -> Column:
+    """The value in a type; one that does not fit stops the job, whatever the session's ANSI mode."""
+    message = F.concat(F.lit(f"{name} does not fit {getattr(kind, 'simpleString', lambda: kind)()}: "), value.cast("string"))
+    return F.coalesce(value.try_cast(kind), F.when(value.isNotNull(), F.raise_error(message).cast(kind)))
+
+
+def _declared(df: DataFrame, schema: T.StructType) -> list[tuple[T.StructField, str | None]]:
     present = {c.lower(): c for c in df.columns}
+    return [(field, present.get(field.name.lower())) for field in schema.fields]
+
+
+def conform(df: DataFrame, schema: T.StructType = TRIPS, unreadable: str = "null") -> DataFrame:
+    """Project to the declared columns in declared order; absent ones become NULL, others are dropped.
+
+    A value that its declared type can't hold becomes NULL (``unreadable="null"``; ``unreadable_counts`` tells how many)
+    or stops the job (``"error"``).
+    """
+    if unreadable not in ("null", "error"):
+        raise ValueError(f"unreadable must be null or error, not {unreadable!r}")
     columns = []
-    for field in schema.fields:
-        source = present.get(field.name.lower())
-        value = F.col(f"`{source}`").try_cast(field.dataType) if source else F.lit(None).cast(field.dataType)
+    for field, source in _declared(df, schema):
+        if source is None:
+            value = F.lit(None).cast(field.dataType)
+        elif unreadable == "error" and df.schema[source].dataType != field.dataType:
+            value = strict_cast(F.col(f"`{source}`"), field.dataType, field.name)
+        else:
+            value = F.col(f"`{source}`").try_cast(field.dataType)
         columns.append(value.alias(field.name))
     return df.select(*columns)
+
+
+def unreadable_counts(df: DataFrame, schema: T.StructType = TRIPS) -> DataFrame:
+    """``column, unreadable``: how many values of each declared column of ``df`` its declared type can't hold."""
+    counts = [
+        F.count_if(does_not_fit(F.col(f"`{source}`"), field.dataType)).alias(field.name)
+        for field, source in _declared(df, schema)
+        if source is not None
+    ]
+    if not counts:
+        return df.sparkSession.createDataFrame([], "column string, unreadable bigint")
+    row = df.agg(*counts)
+    return row.unpivot([], row.columns, "column", "unreadable")

@@ -66,8 +66,10 @@ def write_jdbc(
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    place = f" location '{location}'" if location else ""
-    spark.sql(f"create namespace if not exists {name}{place}")
+    if location is None:
+        spark.sql(f"create namespace if not exists {name}")
+    else:
+        spark.sql(f"create namespace if not exists {name} location :location", args={"location": location})
 
 
 def drop_namespace(spark: SparkSession, name: str) -> None:

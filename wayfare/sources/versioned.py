@@ -3,10 +3,12 @@
 Layout below the table folder::
 
     data/snapshot_id=<id>/*.parquet    rows of one version
-    log/*.parquet                      one row per commit
+    log/<sequence>/*.parquet           the row of one commit
 
-A write puts the data down first, counts it again from the files and only then appends the log row, so a failed write
-leaves no visible version. Readers find the current version in the log. One writer at a time is assumed.
+A write puts the data down first, counts it again from the files and only then adds the log row, so a failed write
+leaves no visible version. Readers find the current version in the log. A commit is a folder named after its sequence
+that must not exist yet, so the slower of two writers fails; should both get that far at once, the row of the lower
+snapshot id counts and the other writer finds out when it reads the log again.
 """
 
 from __future__ import annotations
@@ -14,27 +16,35 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.schemas import TARGET_FILE_BYTES
-from wayfare.session import scoped_conf
+from wayfare.session import remove_folder, scoped_conf
 from wayfare.sources.sinks import list_files
 
 LOG = "sequence bigint, snapshot_id bigint, parent_id bigint, committed_at timestamp, operation string, record_count bigint"
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed the version that this one was about to."""
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def _log(self) -> DataFrame:
-        folder = f"{self.folder}/log"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        try:
+            rows = self.spark.read.schema(LOG).parquet(f"{self.folder}/log/*")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], LOG)
-        return self.spark.read.schema(LOG).parquet(folder)
+        first = F.min(F.struct("snapshot_id", *[c for c in rows.columns if c != "snapshot_id"]))
+        return rows.groupBy("sequence").agg(first.alias("r")).select(*[f"r.{c}" for c in rows.columns])
 
     def _current(self):
         return self._log().orderBy(F.desc("sequence")).first()
@@ -54,7 +64,8 @@ class VersionedTable:
     ) -> int:
         """Create the table or replace its rows, keeping the earlier version, and return the new snapshot id.
 
-        Without ``cluster_by`` the rows are written as they are partitioned, with no further shuffle. With it, rows
+        Raises ``ConcurrentWrite`` if another writer commits first. Without ``cluster_by`` the rows are written as they
+        are partitioned, with no further shuffle. With it, rows
         are gathered by those columns into files of about ``target_bytes``; AQE splits a column value that holds
         more than that over several files.
         """
@@ -62,23 +73,39 @@ class VersionedTable:
         snapshot_id = uuid.uuid4().int >> 65
         path = self._data_path(snapshot_id)
         written = Observation()
-        with scoped_conf(self.spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes}):
-            rows = df.hint("rebalance", *cluster_by) if cluster_by else df
+        rows = df.hint("rebalance", *cluster_by) if cluster_by else df
+        sized = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes} if cluster_by else {}
+        with scoped_conf(self.spark, **sized):
             rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(path)
         expected, found = written.get["n"], self.spark.read.schema(df.schema).parquet(path).count()
         if expected != found:
+            remove_folder(self.spark, path)
             raise RuntimeError(f"{path}: wrote {expected} rows but read {found}")
+        sequence = previous.sequence + 1 if previous else 1
         entry = (
-            previous.sequence + 1 if previous else 1,
+            sequence,
             snapshot_id,
             previous.snapshot_id if previous else None,
             committed_at or datetime.now(timezone.utc),
             "overwrite" if previous else "append",
             found,
         )
-        self.spark.createDataFrame([entry], LOG).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
+        self._commit(entry, path)
         return snapshot_id
 
+    def _commit(self, entry: tuple, path: str) -> None:
+        sequence, snapshot_id, *_ = entry
+        log = f"{self.folder}/log/{sequence:019d}"
+        try:
+            self.spark.createDataFrame([entry], LOG).coalesce(1).write.mode("errorifexists").parquet(log)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            remove_folder(self.spark, path)
+            raise ConcurrentWrite(f"{self.folder}: version {sequence} was committed by another writer") from error
+        if self._log().filter(F.col("sequence") == sequence).first().snapshot_id != snapshot_id:
+            raise ConcurrentWrite(f"{self.folder}: version {sequence} was committed by another writer")
+
     def read(self, snapshot_id: int | None = None) -> DataFrame:
         """Rows of the current version, or of an earlier one."""
         if snapshot_id is None:
@@ -89,19 +116,8 @@ class VersionedTable:
         return self.spark.read.parquet(self._data_path(snapshot_id))
 
     def snapshots(self) -> DataFrame:
-        return self._log().select("committed_at", "snapshot_id", "parent_id", "operation").orderBy("committed_at")
-
-    def history(self) -> DataFrame:
-        """Every commit descends from the one before it, so all of them are ancestors of the current version."""
-        return (
-            self._log()
-            .select(
-                F.col("committed_at").alias("made_current_at"),
-                "snapshot_id",
-                F.lit(True).alias("is_current_ancestor"),
-            )
-            .orderBy("made_current_at")
-        )
+        """The commits in their order, with the rows that each one has."""
+        return self._log().orderBy("sequence").select("committed_at", "snapshot_id", "parent_id", "operation", "record_count")
 
     def files(self, snapshot_id: int | None = None) -> DataFrame:
         return list_files(self.read(snapshot_id))
