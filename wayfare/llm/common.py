@@ -71,10 +71,11 @@ def connected_components(links: DataFrame, left: str, right: str) -> DataFrame:
     before, now = None, _checksum(edges)
     while now[0] and now != before:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that both sides of the join are plain shuffles, which AQE can split at a hub
+        least = save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = save(large, "components")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = save(large.groupBy("u").agg(F.min("v").alias("m")), "components")
         small = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionAll(least.select("u", F.col("m").alias("v")))
         edges = save(small.distinct(), "components")

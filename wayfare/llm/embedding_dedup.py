@@ -216,7 +216,7 @@ def near_vectors(
     named = points.join(totals, points.rep == totals.a, "left").join(groups, points.rep == groups.node, "left")
     named = named.select("label", "vector", "copies", "least", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("group"))
     named = save(named, "named")
-    smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    smallest = save(named.groupBy("group").agg(F.min("least").alias("component_id")), "smallest")
     answer = named.join(smallest, "group").select("label", "vector", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = usable.join(answer, ["label", "vector"]).select("id", "n_links", "component_id")
     alone = rows.filter("label is null or vector is null").select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))

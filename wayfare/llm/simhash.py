@@ -285,7 +285,7 @@ def near_groups(
     groups = connected_components(close_links(values, threshold), "a", "b")
     named = values.join(groups, values.fp == groups.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("group"))
     named = save(named, "named")
-    best = named.groupBy("group").agg(F.min("first").alias("best"))
+    best = save(named.groupBy("group").agg(F.min("first").alias("best")), "best")  # for AQE to split a large component
     found = named.join(best, "group").select("fp", F.col("best.id").alias("component_id"), F.col("best.mark").alias("best_mark"))
     return points.join(found, "fp").select(
         "id", "mark", "fp", "component_id", (F.col("mark") == F.col("best_mark")).alias("kept")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import text_slices
+from wayfare.llm.common import save, text_slices
 
 END = b"\r\n\r\n"
 SEGMENT_BYTES = 16 << 10
@@ -138,7 +138,8 @@ def write_archives(
     rows = pages.select(F.col("page_id").cast("bigint"), "url", "html").withColumn("key", F.unhex(F.sha2(payload, 256)))
     best = F.max(F.struct(F.col("page_id").isNotNull(), "page_id", F.col("url").isNotNull(), "url")).alias("best")
     best = rows.groupBy("key").agg(best).select("key", F.col("best.page_id").alias("best_id"), F.col("best.url").alias("best_url"))
-    joined = rows.join(best, "key")
+    # written, so that both sides of the join are plain shuffles, which AQE splits at a payload that many pages share
+    joined = rows.join(save(best, "responses"), "key")
     response = F.col("page_id").eqNullSafe(F.col("best_id")) & F.col("url").eqNullSafe(F.col("best_url"))
     large = F.octet_length(F.coalesce("html", F.lit(""))) >= minimum_bytes
     joined = joined.withColumn("response", response | ~large)
@@ -290,6 +291,7 @@ def resolve(records: DataFrame) -> DataFrame:
     targets = sized.filter("record_type = 'response'").groupBy(F.col("record_id").alias("target")).agg(
         F.max("page_id").alias("target_page"), F.max("own_bytes").alias("target_bytes")
     )
+    targets = save(targets, "targets")  # for AQE to split the revisits of one page
     revisits = sized.filter("record_type = 'revisit'").join(targets, F.col("refers_to") == F.col("target"), "left").drop("target")
     others = sized.filter("record_type <> 'revisit'").withColumn("target_page", F.lit(None).cast("bigint"))
     both = revisits.unionByName(others.withColumn("target_bytes", F.col("own_bytes")))
