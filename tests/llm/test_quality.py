@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from cases import LONG, documents, empty
 
-from wayfare.llm.quality import chain_features, fit_quality_model, line_features, marginals, score_quality
+from wayfare.llm.quality import FEATURES, OWN, QualityModel, _line_scores, chain_features, fit_quality_model, line_features, marginals, score_quality
 
 
 def test_marginals_like_enumeration():
@@ -35,6 +35,14 @@ def test_line_features_skip_blank_lines():
     assert np.isfinite(chain_features(line_features(LONG + "\n" + LONG)[0])).all()
 
 
+def test_line_scores_are_those_of_the_features():
+    draw = np.random.default_rng(1)
+    model = QualityModel(draw.normal(size=FEATURES), draw.random(FEATURES) + 0.5, draw.normal(size=FEATURES), np.zeros((2, 2)), 1.0, 0.0)
+    for size in (1, 2, 7):
+        own = draw.normal(size=(size, OWN)).astype(np.float32)
+        assert np.allclose(_line_scores(own, model), ((chain_features(own) - model.mean) / model.scale) @ model.weights)
+
+
 def corpus(spark):
     good = [(i, f"The house number {i} stands by the river.\nIt has a garden and a wall of stone.") for i in range(120)]
     bad = [(1000 + i, f"BUY!! NOW!! {i}$$$ ### ***\nwin win win win win $$$") for i in range(120)]

@@ -133,6 +133,15 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, links: np.ndarray, pairs:
     return both[:, 1] / both.sum(1), expected, log_sum
 
 
+def _line_scores(own: np.ndarray, model: QualityModel) -> np.ndarray:
+    """What ``chain_features`` score, without building them: a text may have very many lines."""
+    factor = model.weights / model.scale
+    out = own @ factor[:OWN] + (factor[-1] - model.mean @ factor)
+    out[1:] += own[:-1] @ factor[OWN : 2 * OWN] + factor[-3]
+    out[:-1] += own[1:] @ factor[2 * OWN : 3 * OWN] + factor[-2]
+    return out
+
+
 def _document_scores(own: list[np.ndarray], weights: list[np.ndarray], model: QualityModel) -> np.ndarray:
     """Score of each document; one without a line has 0."""
     lengths = np.array([len(o) for o in own])
@@ -140,8 +149,8 @@ def _document_scores(own: list[np.ndarray], weights: list[np.ndarray], model: Qu
     full = np.flatnonzero(lengths)
     if not len(full):
         return out
-    features = np.concatenate([chain_features(own[i]) for i in full])
-    good, _, _ = marginals(((features - model.mean) / model.scale) @ model.weights, lengths[full], model.links)
+    scores = np.concatenate([_line_scores(own[i], model) for i in full])
+    good, _, _ = marginals(scores, lengths[full], model.links)
     share = np.concatenate([weights[i] / weights[i].sum() for i in full])
     starts = np.cumsum(lengths[full]) - lengths[full]
     out[full] = _calibrated(np.add.reduceat(good * share, starts), model.slope, model.shift)
@@ -230,7 +239,8 @@ def fit_quality_model(
     place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30))
     drawn = known.withColumn("place", place).filter(F.col("place") < int(min(1.0, rows / max(count, 1)) * (1 << 30)))
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter("text is not null")
-    sample = texts.join(drawn, "id").select("label", "place", "text")
+    # the sample is bounded by ``rows``, whatever the table; a shuffle would carry every text for its sake
+    sample = texts.join(F.broadcast(drawn), "id").select("label", "place", "text")
     found = sample.mapInArrow(_sample_step, "label int, place bigint, features binary").toArrow().to_pylist()
     found = sorted((r["place"], r["label"], r["features"]) for r in found if r["features"])
     chains = [np.frombuffer(f, np.float32).reshape(-1, OWN) for _, _, f in found]
