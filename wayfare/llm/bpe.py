@@ -117,60 +117,81 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4")[:, 0]
 
 
+def _bundle(fields: list[bytes]) -> bytes:
+    return b"".join(len(f).to_bytes(4, "little") + f for f in fields)
+
+
+def _fields(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + size])
+        at += 4 + size
+    return out
+
+
 # ------------------------------------------------------------------------------------------- first pass: split
 
-SPLIT = "kind string, block bigint, part int, id bigint, mark bigint, words bigint, data binary"
+SPLIT = "kind string, block bigint, part int, data binary"
+BUNDLE_WORDS = 1 << 18  # words of the texts that are packed together
 
 
 def _split_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    names = ["kind", "block", "part", "id", "mark", "words", "data"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["kind", "block", "part", "data"]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
 
+def _close_block(block: int, parts: int, numbers: dict[str, int], texts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """A block's texts as numbers of its words, and its word list by parts. Frequent words get the low numbers, which
+    pack well. In a list the words are joined by line ends, which no word holds."""
+    counts = np.bincount(np.concatenate([t[2] for t in texts]), minlength=len(numbers))
+    rank = np.empty(len(numbers), np.uint32)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(numbers), dtype=np.uint32)
+    start = 0
+    while start < len(texts):
+        end, held = start, 0
+        while end < len(texts) and (end == start or held + len(texts[end][2]) <= BUNDLE_WORDS):
+            held += len(texts[end][2])
+            end += 1
+        some = texts[start:end]
+        ids = np.array([0 if t[0] is None else t[0] for t in some], "<i8").tobytes()
+        known = bytes(t[0] is not None for t in some)
+        marks = np.array([t[1] for t in some], "<i8").tobytes()
+        sizes, codes = np.array([len(t[2]) for t in some]), rank[np.concatenate([t[2] for t in some])]
+        yield _split_batch([("text", block, None, _bundle([_compress(ids), known, _compress(marks), _pack(sizes), _pack(codes)]))])
+        start = end
+    lists: list[list[str]] = [[] for _ in range(parts)]
+    places: list[list[int]] = [[] for _ in range(parts)]
+    for word, number in numbers.items():
+        part = zlib.crc32(word.encode("utf-8", "surrogatepass")) % parts
+        lists[part].append(word)
+        places[part].append(number)
+    for part, words in enumerate(lists):
+        if words:
+            listed = _compress("\n".join(words).encode("utf-8", "surrogatepass"))
+            yield _split_batch([("words", block, part, _bundle([_pack(rank[places[part]]), listed]))])
+
+
 def _split_step(definition, parts: int, block_bytes: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         tokenizer = _tokenizer(definition.value)
-        task, made = TaskContext.get().partitionId(), 0
-        numbers: dict[str, int] = {}
-        read = 0
-
-        def close() -> Iterator[pa.RecordBatch]:
-            """The block's word list, by parts: words joined by line ends, which no word holds, and their numbers."""
-            lists: list[list[str]] = [[] for _ in range(parts)]
-            places: list[list[int]] = [[] for _ in range(parts)]
-            for word, number in numbers.items():
-                part = zlib.crc32(word.encode("utf-8", "surrogatepass")) % parts
-                lists[part].append(word)
-                places[part].append(number)
-            rows = []
-            for part, words in enumerate(lists):
-                if words:
-                    text = "\n".join(words).encode("utf-8", "surrogatepass")
-                    sizes = _pack(np.array(places[part]))
-                    data = len(sizes).to_bytes(4, "little") + sizes + _compress(text)
-                    rows.append(("words", block, part, None, None, len(words), data))
-            if rows:
-                yield _split_batch(rows)
-
-        block = (task << 32) | made
+        block, numbers, texts, read = TaskContext.get().partitionId() << 32, {}, [], 0
         for whole in batches:
             for batch in text_slices(whole, "text", 8 << 20):
-                rows = []
                 for row in batch.to_pylist():
-                    words = tokenizer.words(row["text"] or "")
+                    text = row["text"] or ""
+                    words = tokenizer.words(text)
                     codes = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.uint32, len(words))
-                    rows.append(("text", block, None, row["id"], row["mark"], len(words), _pack(codes)))
-                    read += len(row["text"] or "")
-                if rows:
-                    yield _split_batch(rows)
-                if read >= block_bytes:
-                    yield from close()
-                    made, read, numbers = made + 1, 0, {}
-                    block = (task << 32) | made
-        yield from close()
+                    texts.append((row["id"], row["mark"], codes))
+                    read += len(text) + 16
+                    if read >= block_bytes:
+                        yield from _close_block(block, parts, numbers, texts)
+                        block, numbers, texts, read = block + 1, {}, [], 0
+        if texts:
+            yield from _close_block(block, parts, numbers, texts)
 
     return step
 
@@ -189,8 +210,8 @@ def _encode_step(definition):
             for row in batch.to_pylist():
                 if row["part"] != part:  # rows are sorted by part, and a word has one part only
                     part, known = row["part"], {}
-                at = 4 + int.from_bytes(row["data"][:4], "little")
-                words = _expand(row["data"][at:]).decode("utf-8", "surrogatepass").split("\n")
+                places, listed = _fields(row["data"])
+                words = _expand(listed).decode("utf-8", "surrogatepass").split("\n")
                 found = []
                 for word in words:
                     ids = known.get(word)
@@ -199,8 +220,7 @@ def _encode_step(definition):
                     found.append(ids)
                 lengths = np.array([len(i) for i in found])
                 flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
-                fields = [row["data"][4:at], _pack(lengths), _pack(flat)]
-                data = b"".join(len(f).to_bytes(4, "little") + f for f in fields)
+                data = _bundle([places, _pack(lengths), _pack(flat)])
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([data], pa.binary())], ["block", "data"])
 
     return step
@@ -224,24 +244,24 @@ def _join_step(pieces):
         table = np.array(pieces.value, object)
         places, sizes, flats = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for data in lists.column("data").to_pylist():
-            fields, at = [], 0
-            while at < len(data):
-                size = int.from_bytes(data[at : at + 4], "little")
-                fields.append(_unpack(data[at + 4 : at + 4 + size]))
-                at += 4 + size
+            fields = [_unpack(f) for f in _fields(data)]
             places.append(fields[0].astype(np.int64))
             sizes.append(fields[1].astype(np.int64))
             flats.append(fields[2])
         place, size, flat = map(np.concatenate, (places, sizes, flats))
         starts, lengths = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         starts[place], lengths[place] = np.cumsum(size) - size, size
-        ids, decoded, counts = [], [], []
+        names, marks, ids, decoded, counts = [], [], [], [], []
         for data in texts.column("data").to_pylist():
-            found = _gather(starts, lengths, flat, _unpack(data))
-            ids.append(found.astype("<u4").tobytes())
-            counts.append(len(found))
-            decoded.append(" ".join(table[found].tolist()))
-        columns = [texts.column("id"), texts.column("mark"), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
+            own, known, mark, sizes, codes = _fields(data)
+            names += [i if k else None for i, k in zip(np.frombuffer(_expand(own), "<i8").tolist(), known)]
+            marks += np.frombuffer(_expand(mark), "<i8").tolist()
+            for part in np.split(_unpack(codes), np.cumsum(_unpack(sizes).astype(np.int64))[:-1]):
+                found = _gather(starts, lengths, flat, part)
+                ids.append(found.astype("<u4").tobytes())
+                counts.append(len(found))
+                decoded.append(" ".join(table[found].tolist()))
+        columns = [pa.array(names, pa.int64()), pa.array(marks, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
         return pa.table(columns, ["id", "mark", "n_tokens", "ids", "decoded"])
 
     return join
@@ -275,5 +295,5 @@ def encode_and_decode(
     split = save(rows.mapInArrow(_split_step(definition, parts, block_bytes), SPLIT), "split")
     lists = split.filter("kind = 'words'").select("block", "part", "data").repartition(parts, "part").sortWithinPartitions("part")
     encoded = lists.mapInArrow(_encode_step(definition), ENCODED)
-    texts = split.filter("kind = 'text'").select("block", "id", "mark", "data")
+    texts = split.filter("kind = 'text'").select("block", "data")
     return texts.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(_join_step(pieces), JOINED)
