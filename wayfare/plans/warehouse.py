@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions import (
@@ -103,6 +103,11 @@ CHECKS: list[Check] = [
 HISTORY_KEY, HISTORY_CHECKED = "location_id", ["borough", "zone_name", "service_zone"]
 
 
+def _staged(source: str, kind: str, name: str) -> Column:
+    same = TRIPS[source].dataType.simpleString() == kind
+    return F.col(source) if same else strict_cast(F.col(source), kind, name)
+
+
 def stage_trips(raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, int] = ZONE_RANGE) -> DataFrame:
     """Typed, derived, valid and deduplicated trips. The fare test sees the amount rounded to cents.
 
@@ -112,7 +117,7 @@ def stage_trips(raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, in
     raw = conform(raw, TRIPS, unreadable="error").filter(F.col(RAW.fare) >= min_fare - 0.01)
     passengers = "passenger_count"
     staged = raw.select(
-        *[strict_cast(F.col(source), kind, name).alias(name) for source, name, kind in STAGED_TRIP_COLUMNS],
+        *[_staged(source, kind, name).alias(name) for source, name, kind in STAGED_TRIP_COLUMNS],
         varchar("store_and_fwd_flag", 1).alias("store_and_fwd_flag"),
         rate_key("VendorID", passengers).alias("rate_code_id"),
         payment_key(passengers).alias("payment_type_id"),
