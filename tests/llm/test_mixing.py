@@ -3,8 +3,9 @@ from collections import Counter
 
 import pytest
 from cases import documents, empty
+from pyspark.sql import functions as F
 
-from wayfare.llm.mixing import mix, mixed_documents, schedule, source_targets
+from wayfare.llm.mixing import GOLDEN, golden_point, mix, mixed_documents, schedule, source_targets
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -62,6 +63,13 @@ def test_every_stretch_of_the_schedule_has_the_proportions(spark):
         assert abs(part["a"] - 300) < 8 and abs(part["b"] - 150) < 8 and abs(part["c"] - 50) < 8
 
 
+def test_points_are_exact_for_large_slots(spark):
+    slots = [0, 1, 2, 12345, 2**20 + 7, 2**33 + 5, 2**40 - 1]
+    df = spark.createDataFrame([(s,) for s in slots], "slot bigint")
+    found = [r[0] for r in df.select(golden_point(F.col("slot"))).collect()]
+    assert found == pytest.approx([s * GOLDEN % 2**64 / 2**64 for s in slots], abs=1e-9)
+
+
 def test_mixed_documents(spark):
     docs = documents(spark)
     found = mixed_documents(docs)

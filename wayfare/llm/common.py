@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,6 +26,43 @@ def save(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Hand texts to Python in Arrow batches of a few megabytes; a session that asks for smaller ones is left alone.
+
+    The default of 64 MB costs each task several times that, in the JVM's direct memory and in Python.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key, None) or "64m"
+    size = int(re.sub(r"\D", "", now)) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now.lower().rstrip("b")[-1:], 1)
+    if size > 8 << 20 or size <= 0:
+        spark.conf.set(key, most)
+
+
+def row_mark(docs: DataFrame) -> Column:
+    """A hash of the whole row: only rows alike in all columns share it, but for chance."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def take_rows(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` as often as wanted, with its columns.
+
+    ``wanted`` has ``id, mark, rows, times``: the identifier and ``row_mark`` of a row, how many rows of ``docs`` are alike
+    in both, and how often that row is to appear, however many there are. The texts are shuffled once and not sorted.
+    """
+    wanted = save(wanted.filter("times > 0"), "wanted")
+    mark, key, columns = fresh(docs, "mark"), F.col(f"`{id_column}`"), [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn(mark, row_mark(docs))
+    named = wanted.select(*[F.col(c).alias(f"__wanted_{c}") for c in wanted.columns]).hint("shuffle_hash")
+    same = (F.col(mark) == F.col("__wanted_mark")) & key.cast("bigint").eqNullSafe(F.col("__wanted_id"))
+    found = marked.join(named, same)
+    rows = found.filter(F.col("__wanted_rows") == 1)
+    if not wanted.filter("rows > 1").isEmpty():  # rows repeated in full: one of them speaks for all
+        rows = rows.unionByName(found.filter(F.col("__wanted_rows") > 1).dropDuplicates())
+    if not wanted.filter("times > 1").isEmpty():
+        rows = rows.withColumn("__time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__wanted_times").cast("bigint"))))
+    return rows.select(*columns)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` is called so."""
     taken = {c.lower() for c in df.columns}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import fresh, save, text_slices
+from wayfare.llm.common import fresh, row_mark, save, small_batches, take_rows, text_slices
 
 RUN = "slice int, run int, keys binary, ids binary, marks binary, counts binary"
 KEY_BYTES = 40  # SHA-256, then the length as 8 bytes: equal digests count as one text only if the lengths agree too
@@ -25,7 +25,7 @@ SLICE_ROWS = 200_000
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in text_slices(whole, "text", 32 << 20):
+        for batch in text_slices(whole, "text", 8 << 20):
             keys = []
             for text in batch.column("text").cast(pa.large_binary()):
                 data = (text.as_py() or b"").lower()  # bytes.lower() changes A-Z only
@@ -133,12 +133,13 @@ def exact_groups(
 
     Texts are one group when they are the same after lower-casing A-Z; NULL counts as the empty text. Of a group the
     row with the largest (``keep="max"``) or smallest identifier stays. A NULL identifier loses to any other; among
-    rows with the same identifier the one with the smallest ``mark`` stays, so exactly one row per group is kept also
-    when rows are repeated. ``mark`` names a unique integer column, and is made up where there is none. Other columns
-    are not read. Texts may have any length; an empty table gives no rows.
+    rows with the same identifier the one with the smallest ``mark`` stays. ``mark`` names an integer column; where it is
+    unique, as the one that is made up without it, exactly one row per group is kept also when rows are repeated. Other
+    columns are not read. Texts may have any length; an empty table gives no rows.
     """
     if keep not in ("max", "min"):
         raise ValueError(f"keep must be max or min, not {keep!r}")
+    small_batches(docs.sparkSession)
     marks = F.col(mark) if mark else F.monotonically_increasing_id()
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), marks.alias("mark"))
     digests = save(rows.mapInArrow(_digest_batches, "id bigint, mark bigint, key binary"), "digests")
@@ -167,6 +168,7 @@ def exact_groups(
 def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "max") -> DataFrame:
     """The rows that stay, with the columns of ``docs``; the rules are those of ``exact_groups``."""
     mark = fresh(docs, "mark")
-    marked = save(docs.withColumn(mark, F.monotonically_increasing_id()), "marked")
-    kept = exact_groups(marked, id_column, text_column, mark, keep).filter("kept").select(F.col("mark").alias(mark))
-    return marked.join(kept, mark, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = exact_groups(docs.withColumn(mark, row_mark(docs)), id_column, text_column, mark, keep).filter("kept")
+    # rows alike in all columns share a mark, so all of them are marked as kept
+    kept = groups.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("rows"), F.lit(1).alias("times"))
+    return take_rows(docs, id_column, kept)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import fresh, in_fold
+from wayfare.llm.common import fresh, in_fold, small_batches
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -233,6 +233,7 @@ def language_of(docs: DataFrame, text: Column, model: LanguageModel) -> Column:
     The label is ``und`` with score 0 if the text is NULL or has no letter. The model is a fixed number of bytes per
     language, whatever the data.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import WORD, fresh, save
+from wayfare.llm.common import WORD, fresh, row_mark, save, take_rows
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -22,7 +22,7 @@ LIMIT = 2
 BLOCK_WORDS = 1024
 PIECE_ROWS = 4096  # rows of one window; totals of pieces are summed above it
 CELLS = 4096  # cells of [0, 1) by which slots find their source
-PHI = 0.6180339887498949
+GOLDEN = 11400714819323198485  # 2^64 over the golden ratio
 
 
 def running_total(df: DataFrame, group: Sequence[str], piece: str, order: Sequence[str], size: str, name: str) -> DataFrame:
@@ -64,8 +64,11 @@ def source_targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share
     return open_.withColumn("target", target).select(*sources.columns, "weight", "target")
 
 
-def _same(a: Column, b: Column) -> Column:
-    return a.eqNullSafe(b)
+def golden_point(slot: Column) -> Column:
+    """``frac(slot / golden ratio)``; high and low parts of the slot are multiplied apart, which keeps 30 bits up to 2^40."""
+    step = 1 << 20
+    low, high = GOLDEN / 2**64, (GOLDEN * step % 2**64) / 2**64
+    return ((slot % step) * F.lit(low) + F.floor(slot / step) * F.lit(high)) % 1
 
 
 def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -93,7 +96,7 @@ def schedule(sources: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     # a share of [0, 1) is listed under every cell that it touches; a point looks its source up under its own cell
     cell = lambda x: F.least(F.floor(x * CELLS), F.lit(CELLS - 1))
     cells = sized.select("number", "low", "high", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell"))
-    points = spark.range(count).select(F.col("id").alias("slot"), (F.col("id") * F.lit(PHI) % 1).alias("point"))
+    points = spark.range(count).select(F.col("id").alias("slot"), golden_point(F.col("id")).alias("point"))
     points = points.withColumn("at", cell(F.col("point")))
     drawn = points.join(cells, F.expr("at = cell and point >= low and point < high"))
     drawn = drawn.select("slot", "number", F.floor(F.col("slot") / PIECE_ROWS).alias("piece"), F.lit(1).alias("one"))
@@ -168,7 +171,7 @@ def mix(
         "slot", F.col("source").alias("__s"), F.col("block").alias("__b"), F.col("words").alias("taken")
     )
     # documents of a block share its key, never more than the block has words
-    meet = cut.join(slots, (F.col("block") == F.col("__b")) & _same(F.col("source"), F.col("__s")))
+    meet = cut.join(slots, (F.col("block") == F.col("__b")) & F.col("source").eqNullSafe(F.col("__s")))
     low = F.greatest(F.col("start"), F.col("block") * block_words)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("taken"))
     stretches = meet.filter(high > low).select(
@@ -185,9 +188,9 @@ def mixed_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stay once, as they weigh nothing.
     """
     mark = fresh(docs, "mark")
-    marked = save(docs.withColumn(mark, F.monotonically_increasing_id()), "marked")
-    placed, stretches = mix(marked, id_column, text_column, source_column, mark, **options)
-    passes = stretches.filter("first = 0").select(F.col("mark").alias("__mark"))
-    wordless = placed.filter("size = 0").select(F.col("mark").alias("__mark"))
-    kept = passes.unionAll(wordless)
-    return marked.join(kept, F.col(mark) == F.col("__mark")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    placed, stretches = mix(docs.withColumn(mark, row_mark(docs)), id_column, text_column, source_column, mark, **options)
+    # rows alike in all columns share a mark; their passes are added up
+    there = placed.select("id", "mark", F.lit(1).alias("row"), (F.col("size") == 0).cast("int").alias("time"))
+    passes = stretches.filter("first = 0").select("id", "mark", F.lit(0).alias("row"), F.lit(1).alias("time"))
+    wanted = there.unionAll(passes).groupBy("id", "mark").agg(F.sum("row").alias("rows"), F.sum("time").alias("times"))
+    return take_rows(docs, id_column, wanted)

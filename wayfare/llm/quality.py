@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import in_fold, text_slices
+from wayfare.llm.common import in_fold, small_batches, text_slices
 
 OWN = 18  # features of one line
 FEATURES = 3 * OWN + 3  # the line's, its neighbours', whether it has them, and one
@@ -268,6 +268,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None, id_column: str =
     if model is None:
         scored = rows.select("id", "held_out", F.lit(0.0).alias("score"))
     else:
+        small_batches(docs.sparkSession)
         shared = docs.sparkSession.sparkContext.broadcast(model)
         scored = rows.mapInArrow(_score_step(shared), f"id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= good).cast("int"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import connected_components, fresh, save, text_slices
+from wayfare.llm.common import connected_components, fresh, row_mark, save, small_batches, take_rows, text_slices
 
 THRESHOLD = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
@@ -93,7 +93,7 @@ def fingerprints(texts: list[bytes], width: int = 4, seed: int = 42) -> np.ndarr
 def _fingerprint_step(width: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole, "text", 16 << 20):
+            for batch in text_slices(whole, "text", 8 << 20):
                 texts = [t.as_py() or b"" for t in batch.column("text").cast(pa.large_binary())]
                 found = pa.array(fingerprints(texts, width).view("<i8"))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("mark"), found], ["id", "mark", "fp"])
@@ -273,10 +273,12 @@ def near_groups(
 
     Documents are linked when their fingerprints differ in at most ``threshold`` bits, and ``component_id`` is the
     smallest identifier that links reach (NULL if none of them has one). One row of each component is kept: that with
-    the smallest identifier, and of several such the one with the smallest ``mark``. NULL counts as the empty text,
+    the smallest identifier, and of several such the one with the smallest ``mark`` (a unique integer column; it is made up
+    where none is named). NULL counts as the empty text,
     whose fingerprint is zero; a text of fewer than ``width`` words is one shingle. Equal fingerprints are one point of
     the search, so copies cost nothing more. Other columns are not read; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     marks = F.col(mark) if mark else F.monotonically_increasing_id()
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), marks.alias("mark"))
     points = save(rows.mapInArrow(_fingerprint_step(width), "id bigint, mark bigint, fp bigint"), "fingerprints")
@@ -287,9 +289,8 @@ def near_groups(
     named = save(named, "named")
     best = save(named.groupBy("group").agg(F.min("first").alias("best")), "best")  # for AQE to split a large component
     found = named.join(best, "group").select("fp", F.col("best.id").alias("component_id"), F.col("best.mark").alias("best_mark"))
-    return points.join(found, "fp").select(
-        "id", "mark", "fp", "component_id", (F.col("mark") == F.col("best_mark")).alias("kept")
-    )
+    best = (F.col("mark") == F.col("best_mark")) & F.col("id").eqNullSafe(F.col("component_id"))
+    return points.join(found, "fp").select("id", "mark", "fp", "component_id", best.alias("kept"))
 
 
 def drop_near_copies(
@@ -297,7 +298,7 @@ def drop_near_copies(
 ) -> DataFrame:
     """One row of each component, with the columns of ``docs``; the rules are those of ``near_groups``."""
     mark = fresh(docs, "mark")
-    marked = save(docs.withColumn(mark, F.monotonically_increasing_id()), "marked")
-    groups = near_groups(marked, id_column, text_column, mark, width, threshold)
-    kept = groups.filter("kept").select(F.col("mark").alias(mark))
-    return marked.join(kept, mark, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = near_groups(docs.withColumn(mark, row_mark(docs)), id_column, text_column, mark, width, threshold)
+    # rows alike in all columns share a mark, so all of them are marked as kept
+    kept = groups.filter("kept").groupBy("id", "mark").agg(F.count(F.lit(1)).alias("rows"), F.lit(1).alias("times"))
+    return take_rows(docs, id_column, kept)

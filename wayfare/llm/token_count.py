@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import text_slices
+from wayfare.llm.common import small_batches, text_slices
 
 MARK = "▁"  # stands for the space before a word
 UNKNOWN_PENALTY = 10.0  # below the lowest score of the vocabulary
@@ -101,7 +101,7 @@ def _count_step(model):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _Counts(_counter(*model.value))
         for whole in batches:
-            for batch in text_slices(whole, "text", 16 << 20):
+            for batch in text_slices(whole, "text", 8 << 20):
                 tokens, words = [], []
                 for text in batch.column("text").to_pylist():
                     # every space is the mark of the word after it; only a text that begins with none gets one more
@@ -143,6 +143,7 @@ def token_counts(
     library does with a Metaspace splitter that always puts a mark in front. NULL and the empty text have no tokens. Texts
     may have any length; other columns are not read. The vocabulary goes to every task: its size does not depend on the data.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast((tuple(vocabulary), unknown, byte_fallback))
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = dict(rows.dtypes)["id"]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import save, text_slices
+from wayfare.llm.common import save, small_batches, text_slices
 
 END = b"\r\n\r\n"
 SEGMENT_BYTES = 16 << 10
@@ -134,6 +134,7 @@ def write_archives(
     decides); rows that agree in all three columns are each written as the response is. Other columns are not read.
     An empty table writes no record.
     """
+    small_batches(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("bigint"), "url", "html").withColumn("key", F.unhex(F.sha2(payload, 256)))
     best = F.max(F.struct(F.col("page_id").isNotNull(), "page_id", F.col("url").isNotNull(), "url")).alias("best")
