@@ -86,6 +86,30 @@ def op5_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+OP5_SQL = """
+with recursive v as (
+    select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
+),
+usable as (
+    select *, sqrt(list_dot_product(e, e)) as norm from v
+    where label is not null and len(e) > 0 and list_count(e) = len(e)
+      and len(list_filter(e, lambda x: not isfinite(x))) = 0 and list_dot_product(e, e) > 0
+),
+links as (
+    select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+),
+reached(vec_id, other) as (
+    select vec_id, vec_id from v
+    union
+    select r.vec_id, l.b from reached r join links l on r.other = l.a
+)
+select vec_id, (select count(*) from links where a = vec_id) as n_links, min(other) as component_id,
+       vec_id = min(other) as kept
+from reached group by vec_id
+"""
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality of every document, by a model of the labelled rows outside the held-out fold."""
     docs = read(spark, folder, "documents")
@@ -151,6 +175,7 @@ QUERIES = {
 ORACLES = {
     "op2_warc": OP2_SQL,
     "op3_exact_dedup": OP3_SQL,
+    "op5_embedding_dedup": OP5_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
