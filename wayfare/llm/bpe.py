@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import save, text_slices
+from wayfare.llm.common import save, small_batches, text_slices
 
 BLOCK_BYTES = 16 << 20  # text of one block
 # characters for which lower case, composition and white space are the same in Python and in the tokenizer
@@ -163,14 +163,16 @@ def _close_block(block: int, parts: int, numbers: dict[str, int], texts: list[tu
         start = end
     lists: list[list[str]] = [[] for _ in range(parts)]
     places: list[list[int]] = [[] for _ in range(parts)]
-    for word, number in numbers.items():
+    words_by_rank = np.array(list(numbers), object)[np.argsort(rank)]
+    for place, word in enumerate(words_by_rank.tolist()):
         part = zlib.crc32(word.encode("utf-8", "surrogatepass")) % parts
         lists[part].append(word)
-        places[part].append(number)
+        places[part].append(place)
     for part, words in enumerate(lists):
         if words:
             listed = _compress("\n".join(words).encode("utf-8", "surrogatepass"))
-            yield _split_batch([("words", block, part, _bundle([_pack(rank[places[part]]), listed]))])
+            steps = np.diff(np.array(places[part]), prepend=0)
+            yield _split_batch([("words", block, part, _bundle([_pack(steps), listed]))])
 
 
 def _split_step(definition, parts: int, block_bytes: int):
@@ -245,24 +247,31 @@ def _join_step(pieces):
         places, sizes, flats = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
         for data in lists.column("data").to_pylist():
             fields = [_unpack(f) for f in _fields(data)]
-            places.append(fields[0].astype(np.int64))
+            places.append(np.cumsum(fields[0].astype(np.int64)))
             sizes.append(fields[1].astype(np.int64))
             flats.append(fields[2])
         place, size, flat = map(np.concatenate, (places, sizes, flats))
         starts, lengths = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         starts[place], lengths[place] = np.cumsum(size) - size, size
-        names, marks, ids, decoded, counts = [], [], [], [], []
+        out = []
         for data in texts.column("data").to_pylist():
             own, known, mark, sizes, codes = _fields(data)
-            names += [i if k else None for i, k in zip(np.frombuffer(_expand(own), "<i8").tolist(), known)]
-            marks += np.frombuffer(_expand(mark), "<i8").tolist()
+            names = [i if k else None for i, k in zip(np.frombuffer(_expand(own), "<i8").tolist(), known)]
+            ids, decoded, counts = [], [], []
             for part in np.split(_unpack(codes), np.cumsum(_unpack(sizes).astype(np.int64))[:-1]):
                 found = _gather(starts, lengths, flat, part)
                 ids.append(found.astype("<u4").tobytes())
                 counts.append(len(found))
                 decoded.append(" ".join(table[found].tolist()))
-        columns = [pa.array(names, pa.int64()), pa.array(marks, pa.int64()), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
-        return pa.table(columns, ["id", "mark", "n_tokens", "ids", "decoded"])
+            columns = [
+                pa.array(names, pa.int64()),
+                pa.array(np.frombuffer(_expand(mark), "<i8")),
+                pa.array(counts, pa.int64()),
+                pa.array(ids, pa.binary()),
+                pa.array(decoded, pa.string()),
+            ]
+            out.append(pa.RecordBatch.from_arrays(columns, ["id", "mark", "n_tokens", "ids", "decoded"]))
+        return pa.Table.from_batches(out)
 
     return join
 
@@ -290,6 +299,7 @@ def encode_and_decode(
     pieces = spark.sparkContext.broadcast(_tokenizer(text).pieces())
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
+    small_batches(spark)
     marks = F.col(mark) if mark else F.monotonically_increasing_id()
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), marks.alias("mark"))
     split = save(rows.mapInArrow(_split_step(definition, parts, block_bytes), SPLIT), "split")
