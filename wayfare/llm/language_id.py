@@ -22,7 +22,7 @@ from wayfare.llm.common import fresh, in_fold, small_batches
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
-BUCKET_BITS = 15
+BUCKET_BITS = 15  # buckets travel as 16-bit numbers
 CHUNK = 1 << 19  # characters that are hashed at a time
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -139,7 +139,7 @@ def _sample_features(limit: int, seed: int):
                     weights = np.concatenate([np.full(len(b), n / max(1, len(b))) for n, b in parts])
                     buckets = draw.choice(buckets, limit, p=weights / weights.sum())
                 if len(buckets):
-                    cells = [pa.array([row["lang"]]), pa.array([buckets.astype("<u4").tobytes()], pa.binary())]
+                    cells = [pa.array([row["lang"]]), pa.array([buckets.astype("<u2").tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(cells, ["lang", "buckets"])
 
     return step
@@ -218,7 +218,8 @@ def fit_language_model(
     sample = labelled.filter(point < shares[F.col("lang")]).select("lang", "text")
     found = sample.mapInArrow(_sample_features(features_per_row, seed), "lang string, buckets binary").toArrow()
     rows = sorted(zip(found.column("lang").to_pylist(), found.column("buckets").to_pylist()))
-    rows = [(languages.index(lang), np.frombuffer(b, "<u4").astype(np.int64)) for lang, b in rows]
+    del found
+    rows = [(languages.index(lang), np.frombuffer(b, "<u2")) for lang, b in rows]
     rows = [rows[i] for i in np.random.default_rng(seed).permutation(len(rows))]
     held = rows[: len(rows) // 5]
     scores, bias = _train(rows[len(held) :] or rows, len(languages), dimensions, epochs, rate, seed)
