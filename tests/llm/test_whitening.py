@@ -1,0 +1,88 @@
+import math
+
+import numpy as np
+import pytest
+
+from wayfare.llm.whitening import exact_squares, whiten
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, x string, weight string, component string"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(i, v, 0, None, None, None) for i, v in rows], SCHEMA)
+
+
+def usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and math.isfinite(c) for c in v)
+
+
+def plain(rows, components=8):
+    """n, S, and by row the deviation and the values on the components with variance."""
+    x = np.array([[math.floor(1024 * float(np.float32(c))) + 100_000 for c in v] for _, v in rows if usable(v)], dtype=object)
+    n, sums = len(x), x.sum(axis=0)
+    centred = x.astype(float) - np.array([s / n for s in sums])
+    covariance = centred.T @ centred / n
+    values, directions = np.linalg.eigh(covariance)
+    values, directions = values[::-1][:components], directions[:, ::-1][:, :components]
+    return n, [int(((n * row - sums) ** 2).sum()) for row in x], values, centred @ directions, np.trace(covariance)
+
+
+def assert_like_plain(spark, rows):
+    found = {}
+    for r in whiten(vectors(spark, rows)).collect():
+        found.setdefault(r.id, {}).setdefault(r.component, []).append(r)
+    kept = [i for i, v in rows if usable(v)]
+    n, deviations, values, projected, trace = plain(rows)
+    assert sorted(found, key=str) == sorted(set(kept), key=str)
+    signs = {}
+    for place, i in enumerate(kept):
+        assert sorted(found[i]) == list(range(1, len(values) + 1))
+        for c, e in enumerate(values):
+            for r in found[i][c + 1]:
+                assert (r.n, r.deviation) == (n, deviations[place])
+                assert r.explained == pytest.approx(e / trace, rel=1e-9)
+                assert 0 <= r.identity_error < 1e-9
+                expected = projected[place, c] / math.sqrt(e)
+                if abs(expected) > 1e-6:
+                    sign = signs.setdefault(c, math.copysign(1, expected * r.whitened))
+                    assert r.whitened * sign == pytest.approx(expected, rel=1e-7, abs=1e-9)
+
+
+def test_like_brute_force(spark):
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(size=12).tolist()) for i in range(150)]
+    rows += [(1000 + i, rows[0][1]) for i in range(60)]  # copies weigh as often as they are there
+    rows += [(2000, None), (2001, []), (2002, [None] + [0.0] * 11), (2003, [math.nan] + [0.0] * 11), (2004, [math.inf] + [0.0] * 11)]
+    assert_like_plain(spark, rows)
+
+
+def test_fewer_dimensions_than_components_and_repeated_rows(spark):
+    rows = [(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [-1.0, 0.5]), (3, [-1.0, 0.5]), (None, [0.25, 0.25])]
+    assert_like_plain(spark, rows)
+
+
+def test_the_whole_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    assert_like_plain(spark, [(r.vec_id, r.embedding) for r in table.collect()])
+
+
+def test_directions_without_variance(spark):
+    found = whiten(vectors(spark, [(1, [0.5, 1.0]), (2, [0.5, 3.0])])).collect()
+    assert sorted((r.id, r.component, r.whitened is None) for r in found) == [(1, 1, False), (1, 2, True), (2, 1, False), (2, 2, True)]
+    assert {abs(r.whitened) for r in found if r.component == 1} == {1.0}
+    assert {(r.component, r.explained) for r in found} == {(1, 1.0), (2, 0.0)} and {r.identity_error for r in found} == {0.0}
+    alone = whiten(vectors(spark, [(7, [1.0])])).collect()
+    assert [(r.n, r.deviation, r.whitened, r.explained) for r in alone] == [(1, 0, None, 0.0)]
+
+
+def test_no_usable_vector(spark):
+    result = whiten(vectors(spark, [(1, None), (2, [])]))
+    assert result.count() == 0 and result.columns[0] == "id"
+    assert whiten(vectors(spark, [(1, None)]).limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        whiten(vectors(spark, [(1, [1.0]), (2, [1.0, 2.0])]))
+
+
+def test_sums_of_squares_are_exact_or_absent():
+    rows = np.array([[3, 4], [2**31, 1], [2**31, 2**31], [2**40, 0], [-(2**31) - 1, 7]])
+    assert exact_squares(rows) == [25, 2**62 + 1, None, None, (2**31 + 1) ** 2 + 49]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +13,15 @@ from wayfare.llm.common import in_fold, read
 from wayfare.llm.embedding_dedup import near_vectors
 from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
+from wayfare.llm.manifest import COLUMNS, folded, merkle_manifest, proof_digest, row_digest
 from wayfare.llm.mixing import mix
 from wayfare.llm.quality import fit_quality_model, score_quality
 from wayfare.llm.sharding import shard_documents
 from wayfare.llm.simhash import near_groups
+from wayfare.llm.substring_dedup import drop_repeated_passages
 from wayfare.llm.token_count import read_vocabulary, token_counts
 from wayfare.llm.warc import read_archives, resolve, write_archives
+from wayfare.llm.whitening import whiten
 from wayfare.session import work_folder
 
 
@@ -158,6 +163,143 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the words that earlier passages of twenty words or more hold already."""
+    return drop_repeated_passages(read(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256")
+    )
+
+
+OP11_SQL = r"""
+with d as (
+    select row_number() over () as row_id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+    from documents
+),
+windows as (
+    select row_id, doc_id, unnest(list_transform(range(1, len(words) - 18),
+        lambda i: {'first': i, 'text': array_to_string(words[i:i + 19], ' ')})) as w
+    from d where len(words) >= 20
+),
+later as (
+    select row_id, w.first as start, row_number() over (partition by w.text order by doc_id nulls last, w.first) as turn
+    from windows
+),
+gone as (select row_id, list(distinct place) as places from
+    (select row_id, unnest(range(start, start + 20)) as place from later where turn > 1) group by row_id
+)
+select doc_id, len(words)::bigint as n_words, coalesce(len(places), 0)::bigint as n_removed,
+       sha256(coalesce(array_to_string(case when places is null then words else
+           list_transform(list_filter(range(1, len(words) + 1), lambda i: not list_contains(places, i)), lambda i: words[i])
+       end, ' '), '')) as kept_sha256
+from d left join gone using (row_id)
+"""
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector on the leading components."""
+    return whiten(read(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in the manifest, and whether its text, lower-cased where 3 divides the checksum of its doc_id,
+    still leads to the root."""
+    docs = read(spark, folder, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lower).otherwise(F.col("text"))
+    claimed = row_digest([altered if c == "text" else F.col(c) for c in COLUMNS])
+    found = merkle_manifest(docs, carry={"claimed": claimed})
+    found = found.withColumn("folded_root", folded(F.col("claimed"), F.col("path")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+OP13_SQL = """
+with recursive crc as (
+    select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda x, step:
+        case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as entries
+),
+rows as (
+    select row_number() over () as row_id, doc_id, source, lang, n_chars, text,
+           case when xor(4294967295, list_reduce(list_prepend(4294967295,
+                    list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                    lambda a, b: xor(a >> 8, entries[(xor(a, b) & 255) + 1]))) % 3 = 0
+                then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end as altered
+    from documents, crc
+),
+parts as (
+    select row_id, doc_id, lang, text, altered,
+           coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-')
+               || coalesce(octet_length(encode(source)) || ':' || source, '-')
+               || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+               || coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-') as fields
+    from rows
+),
+digests as (
+    select row_id, doc_id, lang, sha256(fields || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+           sha256(fields || coalesce(octet_length(encode(altered)) || ':' || altered, '-')) as claimed
+    from parts
+),
+leaves as (
+    select *, row_number() over (partition by lang order by doc_id nulls first, leaf, row_id) - 1 as place,
+           count(*) over (partition by lang) as n
+    from digests
+),
+nodes(lang, level, i, n, digest) as (
+    select lang, 0, place, n, leaf from leaves
+    union all
+    select lang, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' order by i))
+    from nodes where n > 1 group by lang, level, i // 8, n
+),
+subroots as (
+    select lang, digest, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as n
+    from nodes where n = 1
+),
+upper_nodes(level, i, n, digest) as (
+    select 0, place, n, digest from subroots
+    union all
+    select level + 1, i // 8, (n + 7) // 8, sha256(string_agg(digest, '' order by i))
+    from upper_nodes where n > 1 group by level, i // 8, n
+),
+steps as (
+    select row_id, level, coalesce(string_agg(digest, '' order by i) filter (i < own), '') as l,
+           coalesce(string_agg(digest, '' order by i) filter (i > own), '') as r
+    from (
+        select leaves.row_id, level, i, digest, place // (8 ** level)::bigint as own
+        from leaves join nodes on leaves.lang is not distinct from nodes.lang and nodes.n > 1
+            and i // 8 = place // (8 ** (level + 1))::bigint
+    ) group by row_id, level, own
+    union all
+    select row_id, level, coalesce(string_agg(digest, '' order by i) filter (i < own), '') as l,
+           coalesce(string_agg(digest, '' order by i) filter (i > own), '') as r
+    from (
+        select leaves.row_id, 1000 + level as level, i, upper_nodes.digest, subroots.place // (8 ** level)::bigint as own
+        from leaves join subroots on leaves.lang is not distinct from subroots.lang
+            join upper_nodes on upper_nodes.n > 1 and i // 8 = subroots.place // (8 ** (level + 1))::bigint
+    ) group by row_id, level, own
+),
+paths as (
+    select row_id, string_agg(l || r, '' order by level) as proof, list(l || '|' || r order by level) as steps
+    from steps group by row_id
+),
+done as (
+    select leaves.*, sha256(coalesce(proof, '')) as proof_sha256,
+           list_reduce(list_prepend(claimed, coalesce(steps, [])),
+               lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) as folded_root
+    from leaves left join paths using (row_id)
+)
+select doc_id, leaf, subroots.digest as subroot, upper_nodes.digest as root, proof_sha256, folded_root,
+       folded_root = upper_nodes.digest as verified
+from done join subroots on done.lang is not distinct from subroots.lang, upper_nodes where upper_nodes.n = 1
+"""
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
@@ -169,6 +311,9 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_language_id": op9_language_id,
     "op10_bpe": op10_bpe,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -176,6 +321,8 @@ ORACLES = {
     "op2_warc": OP2_SQL,
     "op3_exact_dedup": OP3_SQL,
     "op5_embedding_dedup": OP5_SQL,
+    "op11_substring_dedup": OP11_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
