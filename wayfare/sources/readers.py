@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.schemas import TRIPS, ZONES
+from wayfare.sources.drift import missing_path, read_drifting
 
 # Fixed value: name pattern of the public monthly trip files.
 TRIP_FILES = "yellow_tripdata_*.parquet"
@@ -20,17 +21,16 @@ def read_trips(
     schema: T.StructType | None = None,
     lineage: str | None = None,
 ) -> DataFrame:
-    """All trip files of ``folder`` as one table.
+    """All trip files of ``folder`` as one table, also where the types of a column differ from file to file.
 
-    The pattern is expanded by the file system that holds the folder, so the folder may be remote. Without a
-    schema, column types come from the file footers. ``lineage`` names a column for the path of each row's file.
+    The pattern is expanded by the file system that holds the folder, so the folder may be remote. Without a schema a column
+    has the common type of its types in the files, with one the declared type; ``drift_changes`` counts the values
+    that this changes. ``lineage`` names a column for the path of each row's file.
     """
-    reader = spark.read.schema(schema) if schema else spark.read
     try:
-        rows = reader.parquet(f"{folder.rstrip('/')}/{pattern}")
-        return rows.select("*", F.col("_metadata.file_path").alias(lineage)) if lineage else rows
+        return read_drifting(spark, f"{folder.rstrip('/')}/{pattern}", schema, lineage)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not missing_path(error):
             raise
         raise FileNotFoundError(f"no files match {pattern} in {folder}") from error
 
