@@ -9,6 +9,8 @@ from wayfare.operators import history
 from wayfare.operators.comparison import compare_rows
 from wayfare.plans.jobs import update_history
 from wayfare.plans.reports import plan_text
+from wayfare.sources import history_table
+from wayfare.sources.history_table import HistoryTable
 
 SCHEMA = "location_id int, borough string, zone_name string, service_zone string"
 CHECKED = ["borough", "zone_name", "service_zone"]
@@ -122,3 +124,71 @@ def test_update_history_end_to_end(spark, tmp_path):
         ("Zone 5 Updated", DAYS[1], None),
     ]
     assert result.count() == 3
+
+
+def table_of(spark, tmp_path):
+    return HistoryTable(spark, str(tmp_path / "history"), "location_id", CHECKED)
+
+
+def rows_of(table):
+    return sorted(((r.location_id, r.zone_name, r.valid_from, r.valid_to) for r in table.read().collect()), key=str)
+
+
+def state(spark, values):
+    return spark.createDataFrame([(k, "B", v, "s") for k, v in values.items()], SCHEMA)
+
+
+def test_table_like_the_merged_frame(spark, tmp_path):
+    table, frame = table_of(spark, tmp_path), None
+    for day, values in zip(DAYS, ({1: "a", 2: "b"}, {1: "a", 2: "c", 3: None}, {2: "b", 3: "d"}, {1: "x", 2: "b", 3: None})):
+        table.merge(state(spark, values), day)
+        frame = merge(frame, state(spark, values), day) if frame else history.start_history(state(spark, values), day)
+        expected = sorted(((r.location_id, r.zone_name, r.valid_from, r.valid_to) for r in frame.collect()), key=str)
+        assert rows_of(table) == expected
+        before = rows_of(table)
+        table.merge(state(spark, values), day)  # again at the same instant
+        assert rows_of(table) == before
+    assert tuple(history.history_violations(table.read(), "location_id").first()) == (3, 0, 0, 0)
+
+
+def test_a_merge_neither_reads_nor_writes_closed_rows(spark, tmp_path):
+    table = table_of(spark, tmp_path)
+    for day, name in zip(DAYS[:3], "abc"):
+        table.merge(state(spark, {1: name, 2: "same"}), day)
+    closed = {p: p.stat().st_mtime_ns for p in (tmp_path / "history").glob("period=closed*/*.parquet")}
+    assert len(closed) == 2
+    plan = plan_text(merge(table.current(), state(spark, {1: "d"}), DAYS[3]))
+    assert plan.count("PartitionFilters: [isnotnull(period") == 1 and "(period#" in plan and "= open" in plan
+    table.merge(state(spark, {1: "d", 2: "same"}), DAYS[3])
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "history").glob("period=closed*/*.parquet")}
+    assert closed.items() <= after.items() and len(after) == 3
+
+
+def test_a_merge_that_was_cut_off_can_be_run_again(spark, tmp_path, monkeypatch):
+    table = table_of(spark, tmp_path)
+    table.merge(state(spark, {1: "a", 2: "b"}), DAYS[0])
+    write = HistoryTable._write
+
+    def closed_only(self, rows, period):
+        if period == history_table.OPEN:
+            raise RuntimeError("lost")
+        write(self, rows, period)
+
+    monkeypatch.setattr(HistoryTable, "_write", closed_only)
+    with pytest.raises(RuntimeError):
+        table.merge(state(spark, {1: "z", 2: "b"}), DAYS[1])
+    monkeypatch.setattr(HistoryTable, "_write", write)
+    table.merge(state(spark, {1: "z", 2: "b"}), DAYS[1])
+    assert rows_of(table) == sorted([(1, "a", DAYS[0], DAYS[1]), (1, "z", DAYS[1], None), (2, "b", DAYS[0], None)], key=str)
+
+
+def test_two_states_at_one_instant(spark, tmp_path):
+    table = table_of(spark, tmp_path)
+    table.merge(state(spark, {1: "a", 2: "b"}), DAYS[0])
+    table.merge(state(spark, {1: "x", 2: "b"}), DAYS[1])
+    table.merge(state(spark, {1: "y", 2: "c"}), DAYS[1])  # 1 is corrected, 2 changes too
+    assert rows_of(table) == sorted(
+        [(1, "a", DAYS[0], DAYS[1]), (1, "y", DAYS[1], None), (2, "b", DAYS[0], DAYS[1]), (2, "c", DAYS[1], None)], key=str
+    )
+    with pytest.raises(ValueError, match="open since"):
+        table.merge(state(spark, {1: "q"}), DAYS[0])

@@ -45,8 +45,9 @@ def merge_history(
     """The history after comparing its open rows with ``source`` at time ``as_of``.
 
     New keys are added. Where a checked column differs (NULL counts as a value) the open row is closed and a new one
-    opened at the same instant. Unchanged keys, and keys that the source lacks, stay open. Keys are unique in
-    ``source`` and among the open rows. The result must not be written over the files that ``history`` is read from.
+    opened at the same instant; a row that was opened at that very instant is replaced, as it never held. Unchanged keys, and
+    keys that the source lacks, stay open. Keys are unique in ``source`` and among the open rows. The result must not be
+    written over the files that ``history`` is read from. ``HistoryTable`` merges without passing the closed rows.
     """
     attributes = [c for c in history.columns if c not in (key, FROM, TO)]
     now, no_end = F.lit(as_of).cast("timestamp"), F.lit(None).cast("timestamp")
@@ -64,6 +65,7 @@ def merge_history(
     versions = (
         F.when(F.col("old").isNull(), F.array(opened))
         .when(F.col("new").isNull() | ~differs, F.array(kept))
+        .when(F.col(f"old.{FROM}") == now, F.array(opened))
         .otherwise(F.array(closed, opened))
     )
     joined = old.join(new, ["k", "open"], "full_outer")

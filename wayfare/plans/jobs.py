@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from wayfare.operators.checks import rank_check, rolling_check, run_checks
 from wayfare.operators.cleaning import clean_trips, clean_trips_sql
 from wayfare.operators.comparison import compare_rows
-from wayfare.operators.history import merge_history, start_history
 from wayfare.operators.joins import lookup_join, merge_join
 from wayfare.operators.profile import partition_rows, partition_skew, schema_rows
 from wayfare.operators.ranking import busiest_groups, rank_trips_by_fare
@@ -18,6 +17,7 @@ from wayfare.operators.rolling import rolling_trip_count
 from wayfare.plans import reports, tuning
 from wayfare.plans.warehouse import CHECKS, HISTORY_CHECKED, HISTORY_KEY, build_models, fact_trips, split_unfit
 from wayfare.schemas import MIN_FARE, RAW, STAGED, ZONE_RANGE
+from wayfare.sources.history_table import HistoryTable
 from wayfare.sources.versioned import VersionedTable
 
 
@@ -148,10 +148,6 @@ def run_warehouse(
 
 def update_history(dimension: DataFrame, folder: str, as_of: datetime) -> DataFrame:
     """Bring the location history up to date and return it."""
-    table = VersionedTable(dimension.sparkSession, folder)
-    if table.exists():
-        history = merge_history(table.read(), dimension, HISTORY_KEY, HISTORY_CHECKED, as_of)
-    else:
-        history = start_history(dimension, as_of)
-    table.write(history, committed_at=as_of)
+    table = HistoryTable(dimension.sparkSession, folder, HISTORY_KEY, HISTORY_CHECKED)
+    table.merge(dimension, as_of)
     return table.read()

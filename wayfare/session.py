@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed join partitions and sizes shuffles at run time. Forcing the skew rule keeps it active when a
 # grouping above the join could have reused the join's partitioning. The hash-join limit lets AQE skip the sort of a
-# merge join once it has seen that every partition of one side is small.
+# merge join once it has seen that every partition of one side is small. A table whose size is only known at run time is
+# broadcast up to the adaptive limit; the limit for sizes known beforehand is Spark's own.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,6 +22,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
 }
 
 
@@ -91,7 +93,18 @@ def _clear_at_exit(spark: SparkSession, folder: str) -> None:
     atexit.register(clear)
 
 
+def _file_system(spark: SparkSession, folder: str):
+    """The folder as a path, and the file system that holds it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path, files = _file_system(spark, folder)
+    return files.exists(path)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> bool:
     """Delete a folder through the file system that holds it; False if there was none."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    path, files = _file_system(spark, folder)
+    return files.delete(path, True)

@@ -3,12 +3,11 @@
 Layout below the table folder::
 
     data/snapshot_id=<id>/*.parquet    rows of one version
-    log/<sequence>/*.parquet           the row of one commit
+    log/*.parquet                      a row for each version
 
 A write puts the data down first, counts it again from the files and only then adds the log row, so a failed write
-leaves no visible version. Readers find the current version in the log. A commit is a folder named after its sequence
-that must not exist yet, so the slower of two writers fails; should both get that far at once, the row of the lower
-snapshot id counts and the other writer finds out when it reads the log again.
+leaves no visible version. Readers find the current version in the log. One writer at a time: two that write at once
+both succeed, and the log does not tell which of them saw the other.
 """
 
 from __future__ import annotations
@@ -16,35 +15,25 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.schemas import TARGET_FILE_BYTES
-from wayfare.session import remove_folder, scoped_conf
+from wayfare.session import folder_exists, remove_folder, scoped_conf
 from wayfare.sources.sinks import list_files
 
 LOG = "sequence bigint, snapshot_id bigint, parent_id bigint, committed_at timestamp, operation string, record_count bigint"
 
 
-class ConcurrentWrite(RuntimeError):
-    """Another writer committed the version that this one was about to."""
-
-
 class VersionedTable:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def _log(self) -> DataFrame:
-        try:
-            rows = self.spark.read.schema(LOG).parquet(f"{self.folder}/log/*")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not folder_exists(self.spark, f"{self.folder}/log"):
             return self.spark.createDataFrame([], LOG)
-        first = F.min(F.struct("snapshot_id", *[c for c in rows.columns if c != "snapshot_id"]))
-        return rows.groupBy("sequence").agg(first.alias("r")).select(*[f"r.{c}" for c in rows.columns])
+        return self.spark.read.schema(LOG).parquet(f"{self.folder}/log")
 
     def _current(self):
         return self._log().orderBy(F.desc("sequence")).first()
@@ -64,10 +53,9 @@ class VersionedTable:
     ) -> int:
         """Create the table or replace its rows, keeping the earlier version, and return the new snapshot id.
 
-        Raises ``ConcurrentWrite`` if another writer commits first. Without ``cluster_by`` the rows are written as they
-        are partitioned, with no further shuffle. With it, rows
-        are gathered by those columns into files of about ``target_bytes``; AQE splits a column value that holds
-        more than that over several files.
+        Without ``cluster_by`` the rows are written as they are partitioned, with no further shuffle. With it, rows are
+        gathered by those columns into files of about ``target_bytes``; AQE splits a column value that holds more than that
+        over several files.
         """
         previous = self._current()
         snapshot_id = uuid.uuid4().int >> 65
@@ -81,31 +69,17 @@ class VersionedTable:
         if expected != found:
             remove_folder(self.spark, path)
             raise RuntimeError(f"{path}: wrote {expected} rows but read {found}")
-        sequence = previous.sequence + 1 if previous else 1
         entry = (
-            sequence,
+            previous.sequence + 1 if previous else 1,
             snapshot_id,
             previous.snapshot_id if previous else None,
             committed_at or datetime.now(timezone.utc),
             "overwrite" if previous else "append",
             found,
         )
-        self._commit(entry, path)
+        self.spark.createDataFrame([entry], LOG).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
         return snapshot_id
 
-    def _commit(self, entry: tuple, path: str) -> None:
-        sequence, snapshot_id, *_ = entry
-        log = f"{self.folder}/log/{sequence:019d}"
-        try:
-            self.spark.createDataFrame([entry], LOG).coalesce(1).write.mode("errorifexists").parquet(log)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            remove_folder(self.spark, path)
-            raise ConcurrentWrite(f"{self.folder}: version {sequence} was committed by another writer") from error
-        if self._log().filter(F.col("sequence") == sequence).first().snapshot_id != snapshot_id:
-            raise ConcurrentWrite(f"{self.folder}: version {sequence} was committed by another writer")
-
     def read(self, snapshot_id: int | None = None) -> DataFrame:
         """Rows of the current version, or of an earlier one."""
         if snapshot_id is None:
