@@ -46,16 +46,40 @@ def test_relationships_use_a_common_type_and_their_own_parent(spark):
     assert [r.failures for r in result] == [0, 1, 0, 1]
 
 
-def test_checks_shuffle_each_key_once(spark, tmp_path):
-    spark.range(100).selectExpr("id", "id % 7 as ref", "id as x").write.parquet(str(tmp_path / "t"))
-    child, parent = spark.read.parquet(str(tmp_path / "t")), spark.range(7).withColumnRenamed("id", "pk")
+def test_each_model_is_read_and_shuffled_once(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 as ref", "id as x").write.parquet(str(tmp_path / "c"))
+    spark.range(7).selectExpr("id as pk", "id as up").write.parquet(str(tmp_path / "p"))
+    child, parent = spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p"))
     declared = [
         *checks.not_null("c", "id", "ref", "x"),
         *checks.unique("c", "id"),
         *checks.relationship("c", "ref", "p", "pk"),
+        *checks.relationship("c", "x", "p", "up"),
+        *checks.unique("p", "pk"),
     ]
-    plan = plan_text(checks.run_checks({"c": child, "p": parent}, declared), "simple")
-    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 2
+    result = checks.run_checks({"c": child, "p": parent}, declared)
+    plan = plan_text(result, "simple")
+    assert plan.count("FileScan") == 2  # one for each model
+    # one exchange of counts for all models together, one of the few settled checks
+    assert plan.count("Exchange hashpartitioning(number") == plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("HashAggregate(keys=[number") < plan.index("Union")
+    assert [r.failures for r in result.collect()] == [0, 0, 0, 0, 0, 93, 0]
+
+
+def test_a_hot_key_is_counted_before_the_shuffle(spark, tmp_path):
+    spark.range(0, 60_000, 1, 4).selectExpr("if(id % 3 = 0, 7, id) as ref").write.parquet(str(tmp_path / "c"))
+    child, parent = spark.read.parquet(str(tmp_path / "c")), spark.range(0, 60_000, 2).withColumnRenamed("id", "pk")
+    result = checks.run_checks({"c": child, "p": parent}, [*checks.relationship("c", "ref", "p", "pk"), *checks.unique("c", "ref")])
+    assert [r.failures for r in result.collect()] == [20_000 + 20_000, 1]
+    shuffled = plan_text(result, "formatted")
+    assert "partial_sum(child" in shuffled
+
+
+def test_keys_that_look_alike_as_text_are_told_apart_by_their_type(spark):
+    rows = spark.sql("select * from values (0.0D, X'FF'), (-0.0D, X'FE'), (1.5D, X'FF') as t(d, b)")
+    declared = [*checks.unique("m", "d"), *checks.unique("m", "b"), *checks.relationship("m", "d", "n", "k")]
+    whole = spark.sql("select * from values (0L), (1L) as t(k)")
+    assert [r.failures for r in checks.run_checks({"m": rows, "n": whole}, declared).collect()] == [1, 1, 1]
 
 
 def test_empty_model_fails_nothing(spark):
@@ -116,6 +140,17 @@ def test_partition_rows_behind_an_adaptive_shuffle(spark):
     assert sum(rows) == 200_000 and rows == made and len(rows) > 4
 
 
+def test_a_scan_is_counted_without_its_columns(spark, tmp_path):
+    spark.range(0, 900, 1, 3).selectExpr("id", "sha2(string(id), 256) as t").write.parquet(str(tmp_path / "t"))
+    rows = profile.partition_rows(spark.read.parquet(str(tmp_path / "t")))
+    assert "ReadSchema: struct<>" in plan_text(rows) and sum(r.rows for r in rows.collect()) == 900
+
+
+def test_rows_placed_by_construction(spark):
+    df = spark.range(100).withColumn("t", F.lit("x")).repartitionById(6, F.when(F.col("id") < 90, 3).otherwise(1))
+    assert {tuple(r) for r in profile.partition_rows(df).collect()} == {(0, 0), (1, 10), (2, 0), (3, 90)}
+
+
 def test_schema_rows(spark):
     rows = profile.schema_rows(spark.range(1).selectExpr("id", "string(null) as s")).collect()
     assert [tuple(r) for r in rows] == [(0, "id", "bigint", False), (1, "s", "string", True)]

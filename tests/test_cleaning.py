@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -59,6 +60,46 @@ def test_clean_trips(spark):
     assert compare_rows(result, cleaning.clean_trips_sql(df)).first().identical
 
 
+EDGES = [
+    (1, 0, 90, 1, 2, 2.5), (1, 0, 90, 1, 2, 2.5), (2, 5, 65, 1, 2, 2.75), (2, 5, 5, 1, 2, 9.0), (3, 7, 20, 263, 5, 8.125), (3, 7, 20, 263, 5, 8.126),
+    (3, 7, 21, 264, 5, 8.0), (4, 1, 2, 0, 1, 7.0), (5, 1, 3, 1, 1, 6.0), (5, 1, 4, 1, 263, 6.0), (None, 9, 99, 3, 4, 1e10), (None, 9, 99, 3, 4, 2e10),
+]
+
+
+def test_both_forms_agree_at_the_edges(spark):
+    df = trips(spark, EDGES)
+    found = compare_rows(cleaning.clean_trips(df), cleaning.clean_trips_sql(df)).first()
+    assert found.identical and found.left_rows == 7
+
+
+@pytest.mark.parametrize(
+    "right, wrong",
+    [
+        (">= :min_fare", "> :min_fare"),
+        ("{dropoff} > {pickup}", "{dropoff} >= {pickup}"),
+        ("{pickup_zone} between :low and :high", "{pickup_zone} between :low and :high + 1"),
+        ("{dropoff_zone} between :low and :high", "{dropoff_zone} between :low + 1 and :high"),
+        ("/ 60D", "/ 3600D"),
+        ("timestampdiff(SECOND", "timestampdiff(MINUTE"),
+        ("'||'", "'|'"),
+        ("256)", "224)"),
+        ("__position = 1", "__position <= 2"),
+    ],
+)
+def test_the_comparison_finds_a_wrong_query(spark, monkeypatch, right, wrong):
+    assert right in cleaning.CLEAN_TRIPS_SQL
+    monkeypatch.setattr(cleaning, "CLEAN_TRIPS_SQL", cleaning.CLEAN_TRIPS_SQL.replace(right, wrong, 1))
+    df = trips(spark, EDGES)
+    assert not compare_rows(cleaning.clean_trips(df), cleaning.clean_trips_sql(df)).first().identical
+
+
+@pytest.mark.parametrize("kind, wrong", [("dec", "cast(cast({0} as decimal(12,1)) as string)"), ("int", "cast({0} + 1 as string)"), ("ts", "left(cast({0} as string), 16)")])
+def test_the_comparison_finds_a_wrong_kind(spark, monkeypatch, kind, wrong):
+    monkeypatch.setitem(cleaning.SQL_SPELLING, kind, wrong)
+    df = trips(spark, EDGES[:9])
+    assert not compare_rows(cleaning.clean_trips(df), cleaning.clean_trips_sql(df)).first().identical
+
+
 def test_keep_first_is_repeatable(spark):
     rows = [(1, 5, "b"), (1, 3, "z"), (1, 3, "a"), (2, 1, None), (None, 1, "n"), (None, 0, "m")]
     for partitions in (1, 3):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from wayfare.operators import joins
 from wayfare.plans.reports import assert_plan_contains, plan_text
@@ -14,29 +15,49 @@ def lookup(spark):
     return spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "key int, name string")
 
 
-def test_lookup_join_broadcasts_only_within_limits(spark, fact, lookup):
-    on = fact.k == lookup.key
-    small = joins.lookup_join(fact, lookup, on)
-    assert_plan_contains(small, "BroadcastHashJoin")
-    assert sorted(r.name for r in small.collect()) == ["one", "one", "two"]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        for limits in ({"max_rows": 2}, {"max_bytes": 10}):
-            large = joins.lookup_join(fact, lookup, on, **limits)
-            assert "Broadcast" not in plan_text(large)
-            assert sorted(r.name for r in large.collect()) == ["one", "one", "two"]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_fits_broadcast(spark):
-    assert joins.fits_broadcast(spark.range(10), max_rows=10)
-    assert not joins.fits_broadcast(spark.range(11), max_rows=10)
-    assert joins.fits_broadcast(spark.range(0), max_rows=0)
-    text = spark.createDataFrame([("x" * 1000,), (None,)], "t string")
-    assert joins.fits_broadcast(text, max_bytes=1032)
-    assert not joins.fits_broadcast(text, max_bytes=1031)
-    assert not joins.fits_broadcast(spark.sql("select array(1) as a"))
+@pytest.fixture
+def jobs_run(spark):
+    """How many jobs of this test have been started so far."""
+    spark.sparkContext.setJobGroup("joins", "joins")
+    yield lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("joins"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_job_runs_before_the_action(spark, fact, lookup, jobs_run, tmp_path):
+    lookup.write.parquet(str(tmp_path / "lookup"))
+    stored = spark.read.parquet(str(tmp_path / "lookup"))
+    before = jobs_run()
+    computed = stored.groupBy("key").agg(F.max("name").alias("name"))
+    joined = joins.lookup_join(fact, computed, fact.k == computed.key)
+    starred = joins.star_lookup(fact, [joins.Dimension(computed, "k", "key", "a"), joins.Dimension(stored, "k", "key", "b")])
+    plan_text(joined), plan_text(starred)
+    assert jobs_run() == before
+    assert joined.count() == 3 and starred.count() == 5 and jobs_run() > before
+
+
+def executed(df):
+    rows = df.collect()
+    return plan_text(df, "simple").split("== Initial Plan ==")[0], rows
+
+
+def test_the_size_met_at_run_time_decides(spark, fact):
+    """A computed lookup whose size can't be foretold: small enough it is broadcast, else not, in the same plan."""
+    lookup = spark.range(3000).selectExpr("id % 40 as key", "sha2(string(id), 256) as name").groupBy("key").agg(F.max("name").alias("name"))
+    build = lambda: joins.lookup_join(fact, lookup, fact.k == lookup.key)
+    plans = {}
+    for size in ("1MB", "100"):
+        with joins.broadcast_limit(spark, size):
+            plans[size], rows = executed(build())
+            assert len(rows) == 4
+    assert "BroadcastHashJoin" in plans["1MB"] and "Broadcast" not in plans["100"]
+
+
+def test_a_stored_lookup_is_broadcast_without_a_shuffle(spark, fact, tmp_path):
+    spark.range(50).selectExpr("id as key", "string(id) as name").write.parquet(str(tmp_path / "l"))
+    lookup = spark.read.parquet(str(tmp_path / "l"))
+    joined = joins.lookup_join(fact, lookup, fact.k == lookup.key)
+    assert_plan_contains(joined, "BroadcastHashJoin")
+    assert "Exchange hashpartitioning" not in plan_text(joined, "simple")
 
 
 def test_merge_join(fact, lookup):

@@ -149,3 +149,20 @@ def test_spot_checks_find_wrong_results(spark):
     assert {r.PULocationID for r in checks.rank_check(df, wrong_rank).filter("not ok").collect()} == {2}
     wrong_count = rolled.withColumn(rolling.ROLLING, F.col(rolling.ROLLING) + F.when(F.col("PULocationID") == 1, 1).otherwise(0))
     assert {r.PULocationID for r in checks.rolling_check(df, wrong_count).filter("not ok").collect()} == {1}
+
+
+def test_rolling_check_looks_at_several_instants(spark):
+    """A wrong count in the middle of a long series, a row that is missing, and one that is there twice."""
+    rows = [(1, s * 7_000, s * 7_000 + 60, z, 1, 5.0) for s in range(400) for z in (1, 2)] + [(1, 700_000, 700_060, None, 1, 5.0)]
+    df = trips(spark, rows)
+    rolled = rolling.rolling_trip_count(df)
+    start = rolled.agg(F.min(rolling.SECOND)).first()[0]
+    fine = checks.rolling_check(df, rolled, every=600).collect()
+    assert all(r.ok for r in fine) and len(fine) > 100 and {r.PULocationID for r in fine} == {1, 2, None}
+    at = min(r.anchor for r in fine if r.PULocationID == 1 and r.anchor > start + 1_400_000)
+    spoiled = rolled.withColumn(rolling.ROLLING, F.col(rolling.ROLLING) + F.when((F.col(rolling.SECOND) == at) & (F.col("PULocationID") == 1), 1).otherwise(0))
+    assert [(r.PULocationID, r.anchor) for r in checks.rolling_check(df, spoiled, every=600).filter("not ok").collect()] == [(1, at)]
+    gone = rolled.filter((F.col(rolling.SECOND) != at) | (F.col("PULocationID") != 1))
+    assert [(r.anchor, r.window_count) for r in checks.rolling_check(df, gone, every=600).filter("not ok").collect()] == [(at, None)]
+    assert checks.rolling_check(df, rolled, every=600, bucket=3600).filter("not ok").count() == 0
+    assert checks.rolling_check(df, rolled, every=600, window=100).filter("ok").count() < len(fine)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayfare.functions import fingerprint, fingerprint_sql, initials
-from wayfare.schemas import MIN_FARE, RAW, ZONE_RANGE, TripColumns
+from wayfare.schemas import FINGERPRINT, MIN_FARE, RAW, ZONE_RANGE, TripColumns
 
 KEY = "trip_fingerprint"
 DURATION = "trip_duration_minutes"
@@ -81,6 +81,43 @@ def clean_trips(
     return mask_name(keep_first(kept, [KEY], [cols.pickup]))
 
 
+# How the SQL form writes a value of each kind before it is hashed. It is spelled out apart from the fingerprint module, so
+# that comparing the two forms can tell when either goes wrong.
+SQL_SPELLING = {
+    "int": "ifnull(cast(try_cast({0} as bigint) as string), cast({0} as string))",
+    "ts": "left(cast({0} as string), 19)",
+    "dec": "ifnull(cast(try_cast({0} as decimal(12,2)) as string), cast({0} as string))",
+    "str": "cast({0} as string)",
+}
+CLEAN_TRIPS_SQL = """
+with valid as (
+    select * from {view}
+    where {fare} >= :min_fare and {dropoff} > {pickup}
+      and {pickup_zone} between :low and :high and {dropoff_zone} between :low and :high
+),
+keyed as (
+    select *,
+           timestampdiff(SECOND, date_trunc('SECOND', {pickup}), date_trunc('SECOND', {dropoff})) / 60D as trip_duration_minutes,
+           sha2(concat_ws('||', {spelled}), 256) as trip_fingerprint
+    from valid
+),
+placed as (
+    select *, row_number() over (partition by trip_fingerprint order by {order}) as __position from keyed
+)
+select * except ({dropped}) from placed where __position = 1
+"""
+
+
+def clean_trips_text(df: DataFrame, view: str, cols: TripColumns = RAW) -> str:
+    """The SQL of the cleaned trips over a view of ``df``, with the bounds as named parameters."""
+    present = {c.lower(): f"`{c}`" for c in df.columns}
+    spelled = [SQL_SPELLING[kind].format(present[name.lower()]) for name, kind in FINGERPRINT if name.lower() in present]
+    names = {role: f"`{getattr(cols, role)}`" for role in ("fare", "pickup", "dropoff", "pickup_zone", "dropoff_zone")}
+    order = [names["pickup"], *[c for name, c in present.items() if name != cols.pickup.lower()]]
+    dropped = ["__position", *([present[NAME]] if NAME in present else [])]
+    return CLEAN_TRIPS_SQL.format(view=view, spelled=", ".join(spelled), order=", ".join(order), dropped=", ".join(dropped), **names)
+
+
 def clean_trips_sql(
     df: DataFrame,
     view: str = "trip_input",
@@ -88,20 +125,10 @@ def clean_trips_sql(
     min_fare: float = MIN_FARE,
     zones: tuple[int, int] = ZONE_RANGE,
 ) -> DataFrame:
-    """The same table by SQL over a temporary view, from the same texts; names are dropped rather than masked."""
+    """The same table by SQL over a temporary view, written on its own; names are dropped rather than masked."""
     df.createOrReplaceTempView(view)
-    added = ", ".join(f"{text} as {name}" for name, text in derived_sql(df, cols).items())
-    valid = df.sparkSession.sql(f"select *, {added} from {view} where {valid_trip_sql(cols, min_fare, zones)}")
-    valid.createOrReplaceTempView(f"{view}_valid")
-    others = [f"`{c}`" for c in df.columns if c.lower() != cols.pickup.lower()]
-    place = f"row_number() over (partition by {KEY} order by {', '.join([cols.pickup, *others])})"
-    name = _find(df, NAME)
-    hidden = ["__position", *([f"`{name}`"] if name else [])]
-    return df.sparkSession.sql(
-        f"""select * except ({", ".join(hidden)})
-            from (select *, {place} as __position from {view}_valid)
-            where __position = 1"""
-    )
+    bounds = {"min_fare": float(min_fare), "low": zones[0], "high": zones[1]}
+    return df.sparkSession.sql(clean_trips_text(df, view, cols), args=bounds)
 
 
 def retention(

@@ -3,51 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import AbstractContextManager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+from wayfare.session import scoped_conf
 
 
-def _byte_width(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
-    return F.lit(16)
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` with one distributed aggregate and compare it with the limits.
-
-    Tables with nested columns are not measured and count as too large.
-    """
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema.fields):
-        return False
-    width = reduce(lambda a, b: a + b, (_byte_width(f) for f in df.schema.fields))
-    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
-    return size.rows <= max_rows and (size.bytes or 0) <= max_bytes
-
-
-def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    on: Column | str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def lookup_join(fact: DataFrame, lookup: DataFrame, on: Column | str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join a large table with a lookup table.
 
-    The lookup is broadcast only when its measured size is within the limits, so the large side is not shuffled.
-    A larger lookup is joined by shuffle, where AQE splits the partitions of hot keys.
+    No job runs before the action. A lookup read from files is broadcast by their size, so the large side is not shuffled;
+    the size of a computed one is known when it has been computed, and adaptive execution then broadcasts it or
+    splits the partitions of hot keys. The limits are ``spark.sql.autoBroadcastJoinThreshold`` and
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; ``broadcast_limit`` sets both for a while. A lookup that takes work to
+    compute and serves a very large table is best written first, for its files to have a size.
     """
-    side = F.broadcast(lookup) if fits_broadcast(lookup, max_rows, max_bytes) else lookup
-    return fact.join(side, on, how)
+    return fact.join(lookup, on, how)
+
+
+def broadcast_limit(spark: SparkSession, size: str) -> AbstractContextManager[None]:
+    """Inside the block, tables up to ``size`` are broadcast, whether their size is known before or while a query runs."""
+    name = "autoBroadcastJoinThreshold"
+    return scoped_conf(spark, **{f"spark.sql.{name}": size, f"spark.sql.adaptive.{name}": size})
 
 
 def merge_join(fact: DataFrame, lookup: DataFrame, on: Column | str | Sequence[str], how: str = "inner") -> DataFrame:
@@ -117,16 +98,13 @@ class Dimension:
 def star_lookup(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
     """Add the attributes of every dimension to the fact rows; unknown keys give NULL attributes.
 
-    A table that serves several keys is measured once.
+    The joins are lookup joins, so each dimension is broadcast or not by its own size.
     """
-    tables = {id(d.table): d.table for d in dimensions}
-    fits = {name: fits_broadcast(table) for name, table in tables.items()}
     for dimension in dimensions:
         fact_key = f"{dimension.prefix}__key"
         attributes = dimension.table.select(
             F.col(dimension.key).alias(fact_key),
             *[F.col(c).alias(f"{dimension.prefix}_{c}") for c in dimension.table.columns if c != dimension.key],
         )
-        side = F.broadcast(attributes) if fits[id(dimension.table)] else attributes
-        fact = fact.join(side, F.col(dimension.fact_key) == F.col(fact_key), "left").drop(fact_key)
+        fact = lookup_join(fact, attributes, F.col(dimension.fact_key) == F.col(fact_key), "left").drop(fact_key)
     return fact

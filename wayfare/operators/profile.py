@@ -4,28 +4,42 @@ from __future__ import annotations
 
 import contextlib
 import io
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 
 def partition_rows(df: DataFrame) -> DataFrame:
     """Rows in each partition of ``df``, with 0 for empty partitions.
 
-    All columns are kept in the counted plan, since adaptive execution sizes partitions by their bytes. Behind an adaptive
-    shuffle the partitions are those that the run itself made, up to the last one with rows.
+    A scan is counted without reading a column, as its partitions follow from the files. Behind an adaptive shuffle, whose
+    partitions are sized by their bytes, all columns stay in the plan: one looks whether a value is NULL, or hashes a
+    column that can't be. The partitions are then those that the run itself made, up to the last one with rows.
     """
-    columns = [F.col(f"`{c}`") for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
-    kept = F.max(F.xxhash64(*columns)) if columns else F.lit(None)
-    counts = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n"), kept.alias("kept"))
-    counts = counts.filter("n > 0 or kept is not null").select("partition_id", "n")
-    if adaptive(df):
+    changing = adaptive(df)
+    counts = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n"), *(_touched(df) if changing else []))
+    if changing:
+        counts = counts.filter(reduce(or_, [F.col("n") > 0, *[F.col(c) for c in counts.columns if c.startswith("touched")]]))
+    counts = counts.select("partition_id", "n")
+    if changing:
         every = counts.agg(F.explode(F.sequence(F.lit(0), F.max("partition_id"))).alias("partition_id"))
     else:
         every = df.sparkSession.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition_id"))
     return every.join(counts, "partition_id", "left").select("partition_id", F.coalesce("n", F.lit(0)).alias("rows"))
 
 
+def _touched(df: DataFrame) -> list[Column]:
+    """Aggregates that need every column of ``df``."""
+    fields = [f for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    nulls = [F.bool_or(F.col(f"`{f.name}`").isNull()) for f in fields if f.nullable]
+    fixed = [F.col(f"`{f.name}`") for f in fields if not f.nullable]
+    hashed = [F.bool_or(F.xxhash64(*fixed) == 0)] if fixed else []
+    return [c.alias(f"touched_{i}") for i, c in enumerate(nulls + hashed)]
+
+
 def adaptive(df: DataFrame) -> bool:
     """Whether the plan of ``df`` is adapted while it runs, so that its partitions are not known beforehand."""
     with contextlib.redirect_stdout(io.StringIO()) as text:
@@ -33,10 +47,16 @@ def adaptive(df: DataFrame) -> bool:
     return "AdaptiveSparkPlan" in text.getvalue()
 
 
+BALANCE = (
+    "total_rows", "partitions", "populated_partitions", "empty_partitions",
+    "min_rows", "max_rows", "avg_rows", "avg_rows_populated", "skew_ratio",
+)
+
+
 def partition_skew(df: DataFrame) -> DataFrame:
     """One row: partitions, empty ones, smallest, largest and mean size, and largest by mean."""
     populated = F.when(F.col("rows") > 0, F.col("rows"))
-    return partition_rows(df).agg(
+    balance = partition_rows(df).agg(
         F.sum("rows").alias("total_rows"),
         F.count(F.lit(1)).alias("partitions"),
         F.count(populated).alias("populated_partitions"),
@@ -47,6 +67,7 @@ def partition_skew(df: DataFrame) -> DataFrame:
         F.avg(populated).alias("avg_rows_populated"),
         (F.max("rows") / F.nullif(F.avg("rows"), F.lit(0))).alias("skew_ratio"),
     )
+    return balance.select(*BALANCE)
 
 
 def schema_rows(df: DataFrame) -> DataFrame:

@@ -27,7 +27,9 @@ from wayfare.plans import reports, warehouse
 from wayfare.schemas import FINGERPRINT, RAW, TRIPS
 from wayfare.session import work_folder
 from wayfare.sources import readers, sinks
+from wayfare.sources.drift import drift_changes
 from wayfare.sources.generated import date_series
+from wayfare.sources.history_table import HistoryTable
 from wayfare.sources.versioned import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,7 @@ ORACLES: dict[str, str] = {}
 MIN_FARE = 10_000.0
 ZONE_BOUNDS = (1, 2_000_000_000)
 RULES = {"min_fare": MIN_FARE, "zones": ZONE_BOUNDS}
+ANCHOR_STEP = 7  # of the rolling check: a seventh of all seconds
 
 
 def register(sql: str | None = None) -> Callable[[Query], Query]:
@@ -682,13 +685,35 @@ def rank_spot_check(spark: SparkSession, folder: str) -> DataFrame:
 @register(
     f"""with {SQL_EVENTS}, timed as (
             select PULocationID, epoch_us(tpep_pickup_datetime) // 1000000 as pickup_ts from trips),
-        anchors as (select PULocationID, max(pickup_ts) as anchor from timed group by 1)
+        anchors as (
+            select distinct PULocationID, pickup_ts as anchor from timed where pickup_ts % {ANCHOR_STEP} = 0
+            union select PULocationID, max(pickup_ts) from timed group by 1)
         select PULocationID, anchor, count(*) as window_count, count(*) as recount, true as ok
         from timed join anchors using (PULocationID) where pickup_ts between anchor - 604800 and anchor group by 1, 2"""
 )
 def rolling_spot_check(spark: SparkSession, folder: str) -> DataFrame:
     rows = event_trips(spark, folder)
-    return checks.rolling_check(rows, rolling.rolling_trip_count(rows))
+    return checks.rolling_check(rows, rolling.rolling_trip_count(rows), every=ANCHOR_STEP)
+
+
+@register(
+    f"""with {SQL_EVENTS}, timed as (
+            select PULocationID, epoch_us(tpep_pickup_datetime) // 1000000 as pickup_ts from trips),
+        anchors as (
+            select distinct PULocationID, pickup_ts as anchor from timed where pickup_ts % {ANCHOR_STEP} = 0
+            union select PULocationID, max(pickup_ts) from timed group by 1),
+        counted as (
+            select PULocationID, anchor, count(*) as recount from timed join anchors using (PULocationID)
+            where pickup_ts between anchor - 604800 and anchor group by 1, 2)
+        select PULocationID, anchor, recount + 1 as window_count, recount, false as ok
+        from counted where anchor % {2 * ANCHOR_STEP} = 0"""
+)
+def rolling_spot_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts made wrong by one in the middle of the series, as the check finds them."""
+    rows = event_trips(spark, folder)
+    wrong = (F.col(rolling.SECOND) % (2 * ANCHOR_STEP) == 0).cast("int")
+    spoiled = rolling.rolling_trip_count(rows).withColumn(rolling.ROLLING, F.col(rolling.ROLLING) + wrong)
+    return checks.rolling_check(rows, spoiled, every=ANCHOR_STEP).filter(~F.col("ok"))
 
 
 # --- history ----------------------------------------------------------------------------------------------------
@@ -741,6 +766,16 @@ def scd2_history(spark: SparkSession, folder: str) -> DataFrame:
     return _history(spark, folder)
 
 
+@register(f"with {SQL_HISTORY} select * from history")
+def scd2_history_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same history kept as a table: each merge reads and writes open rows only; the last one is run twice."""
+    states = list(zip(_versions(spark, folder), INSTANTS, strict=True))
+    target = HistoryTable(spark, work_folder(spark, "history"), warehouse.HISTORY_KEY, warehouse.HISTORY_CHECKED)
+    for state, instant in [*states, states[-1]]:
+        target.merge(state, instant)
+    return target.read().withColumns({c: F.col(c).cast("timestamp_ntz") for c in (history.FROM, history.TO)})
+
+
 @register(f"with {SQL_HISTORY} select location_id, count(*) as versions from history group by 1 having count(*) > 1")
 def scd2_changed_keys(spark: SparkSession, folder: str) -> DataFrame:
     return history.changed_keys(_history(spark, folder), "location_id")
@@ -855,7 +890,7 @@ def table_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fare_files(spark: SparkSession, folder: str) -> str:
-    """Trips in one file for each line status, named as monthly files are; one of them has wider types."""
+    """Trips in one file for each line status, named as monthly files are, and a file that the name pattern leaves out."""
     base = work_folder(spark, "trip-files")
     rows = trips(spark, folder).withColumn("status", F.when(F.col("store_and_fwd_flag").isNull(), "O").otherwise("F"))
     rows.filter("status = 'F'").drop("status").write.parquet(f"{base}/yellow_tripdata_F.parquet")
@@ -880,6 +915,52 @@ def many_file_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+DRIFTING = "VendorID passenger_count fare_amount store_and_fwd_flag surcharge".split()
+SQL_DRIFTING = f"""with {SQL_TRIPS}, drifting as (
+    select VendorID, passenger_count::double + case when VendorID in (3, 4) and payment_type % 2 = 0 then 0.5 else 0 end as passenger_count,
+           round(fare_amount, 2) as fare_amount, case when VendorID < 5 then store_and_fwd_flag end as store_and_fwd_flag,
+           case when VendorID >= 5 then payment_type / 4 end as surcharge
+    from trips)"""
+
+
+def _drifting_files(spark: SparkSession, folder: str) -> str:
+    """Trips in three files as a layout drifts: whole types, then wider and fractional ones, then a column lost and one won."""
+    base, vendor = work_folder(spark, "drifting"), F.col("VendorID")
+    rows = trips(spark, folder).select("VendorID", "passenger_count", "fare_amount", "store_and_fwd_flag", "payment_type")
+    rows = rows.withColumn("fare_amount", F.round("fare_amount", 2))
+    first = rows.filter(vendor < 3)
+    half = F.when(F.col("payment_type") % 2 == 0, 0.5).otherwise(0.0)
+    second = rows.filter(vendor.between(3, 4)).withColumns(
+        {"VendorID": vendor.cast("bigint"), "passenger_count": F.col("passenger_count") + half, "fare_amount": F.col("fare_amount").cast("decimal(12,2)")}
+    )
+    third = rows.filter(vendor >= 5).drop("store_and_fwd_flag").withColumn("surcharge", F.col("payment_type") / 4)
+    third = third.withColumn("passenger_count", F.col("passenger_count").cast("int"))
+    for month, part in enumerate((first, second, third), 1):
+        part.drop("payment_type").write.parquet(f"{base}/yellow_tripdata_2024-0{month}.parquet")
+    return base
+
+
+@register(f"{SQL_DRIFTING} select cast(VendorID as bigint) as VendorID, * exclude (VendorID) from drifting")
+def drifted_file_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of whole, long, decimal and double columns, one of them absent and one extra, read in their common types."""
+    return readers.read_trips(spark, _drifting_files(spark, folder)).select(*DRIFTING)
+
+
+@register(
+    f"""{SQL_DRIFTING} select "column", type, target, cast(coalesce(sum(n), 0) as bigint) as changed from (
+            values ('VendorID', 'int', 'int'), ('VendorID', 'bigint', 'int'), ('passenger_count', 'bigint', 'bigint'),
+                   ('passenger_count', 'double', 'bigint'), ('passenger_count', 'int', 'bigint'), ('fare_amount', 'double', 'double'),
+                   ('fare_amount', 'decimal(12,2)', 'double'), ('store_and_fwd_flag', 'string', 'string')
+        ) as kinds("column", type, target) left join (
+            select 'passenger_count' as c, 'double' as t, count(*) as n from drifting where passenger_count % 1 <> 0
+        ) on c = "column" and t = type group by 1, 2, 3"""
+)
+def drifted_values(spark: SparkSession, folder: str) -> DataFrame:
+    """How many values of each type found in the files the declared schema changes."""
+    path = f"{_drifting_files(spark, folder)}/{readers.TRIP_FILES}"
+    return drift_changes(spark, path, TRIPS).drop("files")
+
+
 @register(f"with {SQL_ZONES} select * from zones")
 def csv_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The zones as a CSV file with a header, read back by the declared schema."""
@@ -1018,15 +1099,38 @@ def partition_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@register()
+SQL_PLACED = """with counted as (select (l_linenumber + 1) % 10 as place, count(*) as n from lineitem group by 1),
+    places as (select coalesce(n, 0) as n
+               from (select unnest(range(0, (select max(place) + 1 from counted))) as place) left join counted using (place)),
+    balance as (select cast(sum(n) as bigint) as total_rows, count(*) as partitions, count(*) filter (n > 0) as populated_partitions,
+               count(*) filter (n = 0) as empty_partitions, min(n) as min_rows, max(n) as max_rows, avg(n) as avg_rows,
+               avg(n) filter (n > 0) as avg_rows_populated, max(n) / avg(n) as skew_ratio from places)"""
+
+
+def _placed_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items in partitions that their line numbers name; the first two of them, and later ones, are empty."""
+    return table(spark, folder, "lineitem").repartitionById(10, (F.col("l_linenumber") + 1).cast("int"))
+
+
+@register(f"{SQL_PLACED} select * from balance")
 def partition_skew(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.partition_skew(table(spark, folder, "lineitem"))
+    return profile.partition_skew(_placed_items(spark, folder))
 
 
-@register()
+@register(
+    f"""{SQL_PLACED} select 'partitions' as "check", metric, value from (
+            unpivot (select {", ".join(f"cast({c} as varchar) as {c}" for c in profile.BALANCE)} from balance)
+            on {", ".join(profile.BALANCE)} into name metric value value)
+        union all
+        select 'schema', column_name,
+               case data_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'DOUBLE' then 'double'
+                              when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' else data_type end
+               || case when is_nullable then ' null' else ' not null' end
+        from duckdb_columns() where table_name = 'lineitem'"""
+)
 def data_profile(spark: SparkSession, folder: str) -> DataFrame:
     """Partition balance and schema as one report."""
-    items = table(spark, folder, "lineitem")
+    items = _placed_items(spark, folder)
     return reports.combine(
         [
             reports.from_row(profile.partition_skew(items), "partitions"),
