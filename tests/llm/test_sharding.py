@@ -31,6 +31,18 @@ def test_reruns_agree_and_order_is_shuffled(spark, tmp_path):
     assert sum(a < b for a, b in zip(ids, ids[1:])) in range(900, 1100)
 
 
+def test_rows_repeated_in_full_do_not_meet_in_one_bucket(spark, tmp_path):
+    docs = spark.range(3000).selectExpr("if(id < 2000, -1, id) as doc_id", "repeat('x', 40) as text", "map('k', 1) as tags")
+    one = shard_documents(docs, str(tmp_path / "a"), bucket_bytes=4000)
+    two = shard_documents(docs.repartition(7), str(tmp_path / "b"), bucket_bytes=4000)
+    order = [tuple(r) for r in one.select("shard", "slot", "doc_id").orderBy("shard", "slot").collect()]
+    assert order == [tuple(r) for r in two.select("shard", "slot", "doc_id").orderBy("shard", "slot").collect()]
+    counts = Counter(shard for shard, _, _ in order)
+    assert len(order) == 3000 and max(counts.values()) - min(counts.values()) <= 1
+    hot = Counter(shard for shard, _, doc_id in order if doc_id == -1)
+    assert sum(hot.values()) == 2000 and max(hot.values()) < 170 and min(hot.values()) > 80
+
+
 def test_shuffle_is_uniform():
     counts = Counter(tuple(fisher_yates(3, [7, i]).tolist()) for i in range(6000))
     assert len(counts) == 6 and all(850 < n < 1150 for n in counts.values())

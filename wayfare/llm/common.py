@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfare.session import work_folder
@@ -39,8 +40,24 @@ def small_batches(spark: SparkSession, most: str = "8m") -> None:
 
 
 def row_mark(docs: DataFrame) -> Column:
-    """A hash of the whole row: only rows alike in all columns share it, but for chance."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    """A hash of the whole row: only rows alike in all columns share it, but for chance. Columns that hold maps, which
+    have no hash, count by their JSON."""
+    unhashed = [c for c, kind in docs.dtypes if "map<" in kind or "variant" in kind]
+    plain = [F.col(f"`{c}`") for c in docs.columns if c not in unhashed]
+    return F.xxhash64(*plain, *[F.to_json(F.struct(F.col(f"`{c}`"))) for c in unhashed])
+
+
+def repeated_rows(rows: DataFrame, times: str, number: str, at_once: int = 1024) -> DataFrame:
+    """Each row as often as its column ``times`` says, numbered from 0 in a new column.
+
+    A row is first made one for each ``at_once`` copies, and those are dealt out, so that no task makes all copies of a row.
+    """
+    piece = fresh(rows, "piece")
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / at_once))
+    dealt = rows.filter(F.col(times) > 0).withColumn(piece, F.explode(pieces)).repartition(F.col(piece))
+    first = F.col(piece) * at_once
+    copies = F.sequence(first, F.least(first + at_once, F.col(times).cast("bigint")) - 1)
+    return dealt.withColumn(number, F.explode(copies)).drop(piece)
 
 
 def take_rows(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
@@ -52,14 +69,16 @@ def take_rows(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
     wanted = save(wanted.filter("times > 0"), "wanted")
     mark, key, columns = fresh(docs, "mark"), F.col(f"`{id_column}`"), [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn(mark, row_mark(docs))
-    named = wanted.select(*[F.col(c).alias(f"__wanted_{c}") for c in wanted.columns]).hint("shuffle_hash")
-    same = (F.col(mark) == F.col("__wanted_mark")) & key.cast("bigint").eqNullSafe(F.col("__wanted_id"))
+    names = {c: fresh(docs, f"wanted_{c}") for c in wanted.columns}
+    named = wanted.select(*[F.col(c).alias(name) for c, name in names.items()]).hint("shuffle_hash")
+    same = (F.col(mark) == F.col(names["mark"])) & key.cast("bigint").eqNullSafe(F.col(names["id"]))
     found = marked.join(named, same)
-    rows = found.filter(F.col("__wanted_rows") == 1)
+    rows = found.filter(F.col(names["rows"]) == 1)
     if not wanted.filter("rows > 1").isEmpty():  # rows repeated in full: one of them speaks for all
-        rows = rows.unionByName(found.filter(F.col("__wanted_rows") > 1).dropDuplicates())
+        rows = rows.unionByName(found.filter(F.col(names["rows"]) > 1).dropDuplicates([mark, names["id"]]))
     if not wanted.filter("times > 1").isEmpty():
-        rows = rows.withColumn("__time", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__wanted_times").cast("bigint"))))
+        often = repeated_rows(rows.filter(F.col(names["times"]) > 1), names["times"], fresh(rows, "time"))
+        rows = rows.filter(F.col(names["times"]) == 1).select(*columns).unionByName(often.select(*columns))
     return rows.select(*columns)
 
 
@@ -76,6 +95,37 @@ def in_fold(key: Column, fold: int = 2, folds: int = 4) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % folds == fold, F.lit(False))
 
 
+class BoundedCache(dict):
+    """What ``make`` makes of words, by word. Long words are not kept, and all are dropped when their estimated size passes
+    ``most_bytes``, so that memory has a bound whatever the words are; a word met again after that is made again."""
+
+    def __init__(self, make: Callable[[str], object], bytes_a_letter: int, most_bytes: int = 64 << 20, longest: int = 1024):
+        super().__init__()
+        self.make, self.bytes_a_letter, self.most_bytes, self.longest = make, bytes_a_letter, most_bytes, longest
+        self.held = 0
+
+    def __missing__(self, word: str) -> object:
+        made = self.make(word)
+        if len(word) <= self.longest:
+            size = 160 + self.bytes_a_letter * len(word)
+            if self.held + size > self.most_bytes:
+                self.clear()
+                self.held = 0
+            self.held += size
+            self[word] = made
+        return made
+
+
+def least_of_groups(rows: DataFrame, group: str, point: str, count: int) -> DataFrame:
+    """The distinct (group, point) pairs with the ``count`` least points of each group, exactly: repeated rows are one.
+
+    Spark keeps ``count`` rows of a group in each task before the shuffle, so a large group is no burden.
+    """
+    turn = F.row_number().over(Window.partitionBy(group).orderBy(point))
+    distinct = rows.select(group, point).distinct()
+    return distinct.withColumn("turn", turn).filter(F.col("turn") <= count).drop("turn")
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold at most ``most_bytes`` together, or one row each."""
     sizes = batch.column(column).cast(pa.large_binary())
@@ -90,6 +140,18 @@ def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator
         yield batch.slice(start)
 
 
+def forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Label of each of ``size`` nodes under the links a-b: the smallest node it hangs together with."""
+    label = np.arange(size)
+    while True:
+        least = np.minimum(label[a], label[b])
+        if (label[a] == least).all() and (label[b] == least).all():
+            return label
+        np.minimum.at(label, a, least)
+        np.minimum.at(label, b, least)
+        label = label[label]
+
+
 def _checksum(edges: DataFrame) -> tuple:
     total = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(total)

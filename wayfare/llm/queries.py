@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm.bpe import encode_and_decode
-from wayfare.llm.common import in_fold, read
+from wayfare.llm.common import fresh, in_fold, read
 from wayfare.llm.embedding_dedup import near_vectors
 from wayfare.llm.exact_dedup import exact_groups
 from wayfare.llm.language_id import fit_language_model, predict_language
@@ -131,15 +131,16 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The place of every document in sixteen shards of equal row counts."""
-    shards = shard_documents(read(spark, folder, "documents"), work_folder(spark, "shards"))
+    docs = read(spark, folder, "documents")
+    shards = shard_documents(docs, work_folder(spark, "shards"))
     text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
     return shards.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.lit("rows").alias("law"),
-        "shard",
-        "slot",
+        F.col(fresh(docs, "shard")).alias("shard"),
+        F.col(fresh(docs, "slot")).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from wayfare.llm.common import fresh
+from wayfare.llm.common import fresh, repeated_rows, row_mark, save
 
 BUCKET_BYTES = 16 << 20
 
@@ -53,19 +53,26 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, bucket_bytes: i
 
     Shards differ by one row at most. Each row keeps its columns and gets ``slot``, its place in the shard; the names
     ``shard`` and ``slot`` are lengthened by underscores where ``docs`` has them. The bucket of a row is a hash of all its
-    columns, so equal texts and NULL identifiers spread like any others, and the same table gives the same shards. Long
-    records stay whole. An empty table writes no row.
+    columns, so equal texts and NULL identifiers spread like any others, and the same table gives the same shards. Rows
+    repeated in full that together pass a bucket are numbered and hashed with their numbers, so they spread too. Long records
+    stay whole. An empty table writes no row.
     """
     if shards < 1:
         raise ValueError("there must be at least one shard")
-    place, bucket, offset = (fresh(docs, n) for n in ("place", "bucket", "offset"))
+    place, bucket, offset, size_, copy = (fresh(docs, n) for n in ("place", "bucket", "offset", "size", "copy"))
     shard, slot = fresh(docs, "shard"), fresh(docs, "slot")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in docs.dtypes if kind in ("string", "binary")]
-    rows, size = docs.agg(F.count(F.lit(1)), F.sum(sum(sizes, F.lit(8)).cast("bigint"))).first()
+    placed = docs.select(*columns, F.xxhash64(F.lit(seed), row_mark(docs)).alias(place), sum(sizes, F.lit(8)).cast("bigint").alias(size_))
+    rows, size = placed.agg(F.count(F.lit(1)), F.sum(size_)).first()
     buckets = max(1, -(-(size or 0) // bucket_bytes))
-
-    placed = docs.select(*columns, F.xxhash64(F.lit(seed), *columns).alias(place))
+    hot = placed.groupBy(place).agg(F.sum(size_).alias("bytes"), F.count(F.lit(1)).alias(copy)).filter(F.col("bytes") > bucket_bytes)
+    hot = save(hot.filter(F.col(copy) > 1).select(place, copy), "hot-rows")
+    placed = placed.drop(size_)
+    if not hot.isEmpty():  # one row speaks for its copies, which get numbers instead of meeting in a bucket
+        numbered = repeated_rows(placed.join(hot, place).dropDuplicates([place]), copy, offset)
+        numbered = numbered.withColumn(place, F.xxhash64(place, offset)).select(*columns, place)
+        placed = placed.join(hot, place, "left_anti").select(*columns, place).unionByName(numbered)
     placed = placed.withColumn(bucket, F.pmod(F.col(place), F.lit(buckets)))
     counts = placed.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))  # a row for each bucket
     before = F.sum("n").over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import connected_components, fresh, row_mark, save, small_batches, take_rows, text_slices
+from wayfare.llm.common import connected_components, forest, fresh, row_mark, save, small_batches, take_rows, text_slices
 
 THRESHOLD = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
@@ -163,18 +163,6 @@ def _anchor_step(homes_only: bool):
 # ---------------------------------------------------------------------------------------------- comparison
 
 
-def _forest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """Label of each of ``size`` nodes under the links a-b: the smallest node it hangs together with."""
-    label = np.arange(size)
-    while True:
-        least = np.minimum(label[a], label[b])
-        if (label[a] == least).all() and (label[b] == least).all():
-            return label
-        np.minimum.at(label, a, least)
-        np.minimum.at(label, b, least)
-        label = label[label]
-
-
 def _links(group: np.ndarray, home: np.ndarray, value: np.ndarray, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links that hold together what is close, for rows sorted by group with the residents of each group first.
 
@@ -196,7 +184,7 @@ def _links(group: np.ndarray, home: np.ndarray, value: np.ndarray, threshold: in
         if close.any():
             a, b = visitor[close], resident[close]
             nodes, index = np.unique(np.concatenate((a, b)), return_inverse=True)
-            label = _forest(index[: len(a)], index[len(a) :], len(nodes))
+            label = forest(index[: len(a)], index[len(a) :], len(nodes))
             other = nodes[label]
             yield value[nodes[other != nodes]], value[other[other != nodes]]
         at = to
