@@ -1,9 +1,12 @@
+import random
 import zlib
 
 import numpy as np
 from cases import LONG, documents, empty
+from pyspark.sql import functions as F
 
 from wayfare.llm import language_id
+from wayfare.llm.common import least_of_groups
 from wayfare.llm.language_id import drop_rejected, fit_language_model, predict_language
 
 
@@ -36,6 +39,49 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert (fit_language_model(changed).scores == fit_language_model(docs).scores).all()
 
 
+def test_rows_repeated_in_full_are_one_row_of_the_sample(spark):
+    docs = documents(spark).filter("doc_id >= 100").select("doc_id", "text", "lang")
+    hot = spark.range(3000).selectExpr("101L as doc_id", "'the same row again and again and again' as text", "'en' as lang")
+    rows = docs.union(hot).withColumn("point", F.xxhash64("doc_id", "text"))
+    for count in (5, 1000):
+        drawn = least_of_groups(rows, "lang", "point", count).collect()
+        every = {(r.lang, r.point) for r in rows.collect()}
+        expected = {lang: sorted(p for k, p in every if k == lang)[:count] for lang in ("en", "fr")}
+        assert {k: sorted(r.point for r in drawn if r.lang == k) for k in ("en", "fr")} == expected
+    one, many = fit_language_model(docs.union(hot.limit(1))), fit_language_model(docs.union(hot))
+    assert (one.scores == many.scores).all() and (one.familiar == many.familiar).all()
+
+
+def rates(spark, model):
+    """Shares accepted of whole texts, of their first words, and of the same with their letters shuffled."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 200 and doc_id % 4 = 1")
+    texts, draw = [r.text for r in docs.collect()], random.Random(2)
+
+    def shuffled(text):
+        letters = [c for c in text if c.isalpha()]
+        draw.shuffle(letters)
+        return "".join(letters.pop() if c.isalpha() else c for c in text)
+
+    share = lambda some: language_id._predict(some, model)[2].mean()
+    noise = [" ".join("".join(draw.choices("bcdfghjklmnpqrstvwxz", k=draw.randint(2, 9))) for _ in range(60)) for _ in range(100)]
+    return share(texts), share([" ".join(t.split()[:20]) for t in texts]), share([shuffled(t) for t in texts]), share(noise)
+
+
+def test_made_up_texts_are_rejected_and_clean_ones_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    whole, short, shuffled, noise = rates(spark, fit_language_model(docs))
+    assert whole > 0.99 and short > 0.99 and shuffled < 0.05 and noise < 0.05
+
+
+def test_a_language_that_was_not_learned_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("length(text) > 200")
+    for left_out in ("fr", "es"):
+        found = predict_language(docs, fit_language_model(docs.filter(F.col("lang") != left_out))).alias("p")
+        joined = found.join(docs, found.id == docs.doc_id)
+        share = {r.known: r.kept for r in joined.groupBy((F.col("lang") != left_out).alias("known")).agg(F.avg(F.col("accepted").cast("int")).alias("kept")).collect()}
+        assert share[True] > 0.98 and share[False] < 0.2
+
+
 def test_no_labels(spark):
     docs = documents(spark)
     model = fit_language_model(empty(docs))

@@ -4,6 +4,9 @@ A text is the average of the embeddings of its hashed character n-grams, followe
 trained in numpy by stochastic gradient descent on a bounded sample of labelled rows (``rows_per_language`` rows of
 every language, ``features_per_row`` n-grams of each); prediction reads every n-gram of every text. As the output is
 linear in the average, each n-gram needs only its row of ``embeddings @ weights``.
+
+A softmax is sure of anything, so rejection looks at the text too: how frequent its n-grams are in the language that is
+predicted. What clean texts of the same length fall short of is calibrated on rows that training did not see.
 """
 
 from __future__ import annotations
@@ -18,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import fresh, in_fold, small_batches
+from wayfare.llm.common import fresh, in_fold, least_of_groups, save, small_batches
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15  # buckets travel as 16-bit numbers
 CHUNK = 1 << 19  # characters that are hashed at a time
+SMOOTHING = 0.01  # share of a language's n-grams that is spread over all buckets
+LENGTH_CLASSES = 11  # texts of 1, 2, 4 to 1,024 n-grams and more are calibrated apart
+LEAST_ROWS = 20  # held-back rows that a length class needs
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -34,6 +40,8 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     threshold: float  # texts whose score is below are rejected
+    familiar: np.ndarray  # log frequency of each n-gram bucket in each language
+    least_familiar: np.ndarray  # texts of 2^k n-grams whose mean log frequency is below entry k are rejected
 
 
 @functools.lru_cache(maxsize=1)
@@ -74,8 +82,9 @@ def _features(codes: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _score_many(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """Summed n-gram scores and number of n-grams of each text."""
-    sums = np.zeros((len(texts), len(model.languages)))
+    """Summed scores and log frequencies of the n-grams, and number of n-grams, of each text."""
+    table = np.concatenate((model.scores, model.familiar), 1)
+    sums = np.zeros((len(texts), table.shape[1]))
     counts = np.zeros(len(texts))
     held: list[np.ndarray] = []
     owners: list[int] = []
@@ -86,7 +95,7 @@ def _score_many(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.
         for order in ORDERS:
             starts, buckets = _grams(codes, order)
             cuts = np.searchsorted(starts, offsets)
-            rows = model.scores[buckets]
+            rows = table[buckets]
             for k, owner in enumerate(owners):
                 if cuts[k + 1] > cuts[k]:
                     sums[owner] += rows[cuts[k] : cuts[k + 1]].sum(0, dtype=np.float64)
@@ -99,7 +108,7 @@ def _score_many(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.
         codes = _codes(text)
         if len(codes) > CHUNK:
             for buckets in _features(codes):
-                sums[i] += model.scores[buckets].sum(0, dtype=np.float64)
+                sums[i] += table[buckets].sum(0, dtype=np.float64)
                 counts[i] += len(buckets)
             continue
         held.append(codes)
@@ -120,12 +129,20 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 def _predict(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
     sums, counts = _score_many([t or "" for t in texts], model)
-    chances = _softmax((sums / np.maximum(counts, 1)[:, None] + model.bias) / model.temperature)
+    classes, at = len(model.languages), np.arange(len(texts))
+    means = sums / np.maximum(counts, 1)[:, None]
+    chances = _softmax((means[:, :classes] + model.bias) / model.temperature)
     known = counts > 0
     best = chances.argmax(1)
     labels = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-    score = np.where(known, chances[np.arange(len(texts)), best], 0.0)
-    return labels, score, known & (score >= model.threshold)
+    score = np.where(known, chances[at, best], 0.0)
+    familiar = means[at, classes + best] >= model.least_familiar[_length_class(counts, len(model.least_familiar))]
+    return labels, score, known & (score >= model.threshold) & familiar
+
+
+def _length_class(counts: np.ndarray, classes: int) -> np.ndarray:
+    """The power of two in a number of n-grams, the last class for all longer texts."""
+    return np.clip(np.log2(np.maximum(counts, 1)).astype(int), 0, classes - 1)
 
 
 def _sample_features(limit: int, seed: int):
@@ -186,6 +203,29 @@ def _calibrate(logits: np.ndarray, labels: np.ndarray, rejected_share: float) ->
     return temperature, float(min(0.5, np.quantile(chances.max(1)[right], rejected_share)))
 
 
+def _log_frequencies(rows: list[tuple[int, np.ndarray]], classes: int) -> np.ndarray:
+    """Log of each bucket's share of a language's n-grams, every row of it counting alike."""
+    share = np.full((1 << BUCKET_BITS, classes), SMOOTHING / (1 << BUCKET_BITS))
+    number = np.maximum(np.bincount([label for label, _ in rows], minlength=classes), 1)
+    for label, buckets in rows:
+        share[:, label] += np.bincount(buckets, minlength=1 << BUCKET_BITS) / (len(buckets) * number[label])
+    return np.log(share / share.sum(0)).astype(np.float32)
+
+
+def _calibrate_familiarity(rows: list[tuple[int, np.ndarray]], familiar: np.ndarray, slack: float, seed: int) -> np.ndarray:
+    """By length, what clean texts keep above: from the median, ``slack`` times as far down as their lowest hundredth."""
+    draw = np.random.default_rng([seed, 1])
+    least: list[float] = []
+    for size in 2 ** np.arange(LENGTH_CLASSES):
+        long = [(label, buckets) for label, buckets in rows if len(buckets) >= size]
+        if len(long) < LEAST_ROWS:
+            break
+        means = [familiar[buckets[draw.integers(0, len(buckets), size)], label].mean() for label, buckets in long]
+        middle, low = np.quantile(means, [0.5, 0.01]).tolist()
+        least.append(middle - slack * (middle - low))
+    return np.array(least or [-np.inf])
+
+
 def fit_language_model(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -197,25 +237,29 @@ def fit_language_model(
     epochs: int = 5,
     rate: float = 2.0,
     rejected_share: float = 0.001,
+    slack: float = 4.0,
     seed: int = 7,
 ) -> LanguageModel:
     """Learn from rows with text and language whose identifier is outside the held-out fold.
 
-    The sample is about ``rows_per_language`` rows of each language, chosen by a hash of identifier and text; its rows
-    reach the driver as at most ``features_per_row`` hashed n-grams. A fifth of it calibrates the scores: the rejection
-    threshold lets ``rejected_share`` of the right answers fall below it and is never above one half. Without any
-    labelled row the model knows no language and predicts ``und`` for everything.
+    The sample is at most ``rows_per_language`` rows of each language, those with the least hashes of identifier and text;
+    rows that repeat both are one. They reach the driver as at most ``features_per_row`` hashed n-grams. A fifth of the
+    sample calibrates the rejection: the threshold of the score lets ``rejected_share`` of the right answers fall below
+    it and is never above one half; the mean log frequency of a text's n-grams may lie as far below the median of clean
+    texts of its length as ``slack`` times their lowest hundredth. Without any labelled row the model knows no language
+    and predicts ``und`` for everything.
     """
     labelled = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(language_column).cast("string").alias("lang")
     ).filter(F.col("id").isNotNull() & ~in_fold(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    languages = tuple(sorted(counts))
+    pointed = labelled.select("lang", "text", F.xxhash64(F.lit(seed), "id", "text").alias("point"))
+    drawn = save(least_of_groups(pointed, "lang", "point", rows_per_language), "drawn")
+    languages = tuple(sorted(r.lang for r in drawn.select("lang").distinct().collect()))
     if not languages:
-        return LanguageModel((UNKNOWN,), np.zeros((1 << BUCKET_BITS, 1), np.float32), np.zeros(1), 1.0, 0.0)
-    shares = F.create_map(*[F.lit(x) for lang in languages for x in (lang, rows_per_language / counts[lang])])
-    point = F.pmod(F.xxhash64(F.lit(seed), "id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(point < shares[F.col("lang")]).select("lang", "text")
+        none = np.zeros((1 << BUCKET_BITS, 1), np.float32)
+        return LanguageModel((UNKNOWN,), none, np.zeros(1), 1.0, 0.0, none, np.array([-np.inf]))
+    # the sample is bounded by ``rows_per_language``; rows repeated in full are one row of it
+    sample = pointed.join(F.broadcast(drawn), ["lang", "point"]).dropDuplicates(["lang", "point"]).select("lang", "text")
     found = sample.mapInArrow(_sample_features(features_per_row, seed), "lang string, buckets binary").toArrow()
     rows = sorted(zip(found.column("lang").to_pylist(), found.column("buckets").to_pylist()))
     del found
@@ -225,7 +269,9 @@ def fit_language_model(
     scores, bias = _train(rows[len(held) :] or rows, len(languages), dimensions, epochs, rate, seed)
     logits = np.array([scores[b].mean(0) + bias for _, b in held]).reshape(len(held), len(languages))
     temperature, threshold = _calibrate(logits, np.array([label for label, _ in held], int), rejected_share)
-    return LanguageModel(languages, scores.astype(np.float32), bias, temperature, threshold)
+    familiar = _log_frequencies(rows[len(held) :] or rows, len(languages))
+    least = _calibrate_familiarity(held, familiar, slack, seed)
+    return LanguageModel(languages, scores.astype(np.float32), bias, temperature, threshold, familiar, least)
 
 
 def language_of(docs: DataFrame, text: Column, model: LanguageModel) -> Column:
@@ -247,7 +293,7 @@ def language_of(docs: DataFrame, text: Column, model: LanguageModel) -> Column:
 
 
 def predict_language(docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: ``id, held_out, lang_pred, score, accepted``."""
+    """One row per document: ``id, held_out, lang_pred, score, accepted``; rows repeated in full have the same result each."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     found = rows.select("id", in_fold(F.col("id")).alias("held_out"), language_of(docs, F.col("text"), model).alias("p"))
     return found.select("id", "held_out", "p.lang_pred", "p.score", "p.accepted")
