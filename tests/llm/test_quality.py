@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 from cases import LONG, documents, empty
+from pyspark.sql import functions as F
 
 from wayfare.llm.quality import FEATURES, OWN, QualityModel, _line_scores, chain_features, fit_quality_model, line_features, marginals, score_quality
 
@@ -66,6 +67,23 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     assert (one.weights == two.weights).all() and (one.links == two.links).all()
 
 
+def test_a_repeated_identifier_counts_once(spark):
+    docs, labels = corpus(spark)
+    hot = spark.range(2000).selectExpr("1L as doc_id", "concat('again and again ', id) as text")
+    every = docs.union(hot)
+    texts = every.filter("doc_id = 1").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    one = fit_quality_model(docs.filter("doc_id <> 1").union(texts), labels)
+    many = fit_quality_model(every.union(docs), labels.union(labels))
+    assert (one.weights == many.weights).all() and one.slope == many.slope
+
+
+def test_the_sample_has_its_bounds(spark):
+    docs, labels = corpus(spark)
+    few = fit_quality_model(docs, labels, rows=40, lines_per_row=1)
+    found = score_quality(docs, few).collect()
+    assert sum(r.predicted == int(r.id < 1000) for r in found) > 0.95 * len(found)
+
+
 def test_awkward_documents(spark):
     docs, labels = corpus(spark)
     model = fit_quality_model(docs, labels)

@@ -20,7 +20,6 @@ from wayfare.llm.common import in_fold, small_batches, text_slices
 
 OWN = 18  # features of one line
 FEATURES = 3 * OWN + 3  # the line's, its neighbours', whether it has them, and one
-TRAIN_LINES = 64  # lines of a document that training looks at, in one stretch
 
 
 @dataclass(frozen=True)
@@ -173,13 +172,16 @@ def _score_step(model):
     return step
 
 
-def _sample_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            own, _ = line_features(row["text"])
-            at = row["place"] % max(1, len(own) - TRAIN_LINES + 1)
-            cells = [pa.array([row["label"]], pa.int32()), pa.array([row["place"]]), pa.array([own[at : at + TRAIN_LINES].tobytes()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(cells, ["label", "place", "features"])
+def _sample_step(lines: int):
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                own, _ = line_features(row["text"])
+                at = row["place"] % max(1, len(own) - lines + 1)
+                cells = [pa.array([row["label"]], pa.int32()), pa.array([row["place"]]), pa.array([own[at : at + lines].tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cells, ["label", "place", "features"])
+
+    return step
 
 
 def _fit(chains: list[np.ndarray], labels: np.ndarray, penalty: float, steps: int) -> tuple:
@@ -223,25 +225,27 @@ def fit_quality_model(
     text_column: str = "text",
     label_column: str = "quality",
     rows: int = 8000,
+    lines_per_row: int = 64,
     penalty: float = 1e-3,
     steps: int = 200,
     seed: int = 3,
 ) -> QualityModel | None:
     """Learn from labelled documents outside the held-out fold; None if they do not hold both labels.
 
-    The sample is about ``rows`` labelled documents, chosen by a hash of the identifier; the driver gets the features of up to
-    ``TRAIN_LINES`` neighbouring lines of each. A fifth of it calibrates the scores. Only the text is an input.
+    The sample is at most ``rows`` labelled documents, those with the least hashes of their identifiers; the driver gets the
+    features of up to ``lines_per_row`` neighbouring lines of each. Rows that repeat an identifier count once: with the
+    lower label, and with the text of the least hash. A fifth of the sample calibrates the scores. Only the text is an input.
     """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
     known = known.filter(F.col("id").isNotNull() & ~in_fold(F.col("id")) & F.col("label").isin(0, 1))
     known = known.groupBy("id").agg(F.min("label").alias("label"))
-    count = known.count()
-    place = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30))
-    drawn = known.withColumn("place", place).filter(F.col("place") < int(min(1.0, rows / max(count, 1)) * (1 << 30)))
+    known = known.withColumn("place", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)))
+    drawn = known.orderBy("place", "id").limit(rows)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter("text is not null")
     # the sample is bounded by ``rows``, whatever the table; a shuffle would carry every text for its sake
-    sample = texts.join(F.broadcast(drawn), "id").select("label", "place", "text")
-    found = sample.mapInArrow(_sample_step, "label int, place bigint, features binary").toArrow().to_pylist()
+    sample = texts.join(F.broadcast(drawn), "id").groupBy("id", "label", "place").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    features = _sample_step(lines_per_row)
+    found = sample.select("label", "place", "text").mapInArrow(features, "label int, place bigint, features binary").toArrow().to_pylist()
     found = sorted((r["place"], r["label"], r["features"]) for r in found if r["features"])
     chains = [np.frombuffer(f, np.float32).reshape(-1, OWN) for _, _, f in found]
     marks = np.array([label for _, label, _ in found], float)
@@ -261,6 +265,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None, id_column: str =
     """One row per document: ``id, held_out, score`` (0 to 1) and ``predicted``, 1 for scores of ``good`` or more.
 
     A text without a line that holds anything (NULL, empty, white space) scores 0; without a model every text scores 0.
+    Rows repeated in full have one result each, the same.
     Lines end at line feeds. Texts may have any length and any number of lines; other columns are not read.
     """
     kind = dict(docs.dtypes)[id_column]
