@@ -41,6 +41,18 @@ def test_round_trip_like_the_library(spark, library, block_bytes):
     assert sorted(((r.id, r.n_tokens, bytes(r.ids), r.decoded) for r in found), key=str) == sorted(expected, key=str)
 
 
+def test_many_long_distinct_words(spark, library):
+    """Texts without spaces: words as long as the texts, none of them twice, more than a task keeps."""
+    draw = random.Random(8)
+    rows = [(i, "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.choice([900, 1500, 4000])))) for i in range(2500)]
+    docs = spark.createDataFrame(rows + [(9000, rows[0][1]), (9001, "x" * 300_000)], "doc_id bigint, text string")
+    found = {r.id: (r.n_tokens, bytes(r.ids)) for r in encode_and_decode(docs, PATH, part_bytes=1 << 18).collect()}
+    for r in docs.filter("doc_id % 100 = 0 or doc_id = 9001").collect():
+        ids = library.encode(r.text, add_special_tokens=False).ids
+        assert found[r.doc_id] == (len(ids), np.array(ids, "<u4").tobytes())
+    assert len(found) == 2502 and found[9000] == found[0]
+
+
 def test_texts_without_words_only(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, "  \n")], "doc_id bigint, text string")
     assert sorted((r.id, r.n_tokens, bytes(r.ids), r.decoded) for r in encode_and_decode(docs, PATH).collect()) == [(i, 0, b"", "") for i in (1, 2, 3)]

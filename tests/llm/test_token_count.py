@@ -6,6 +6,7 @@ from cases import documents, empty
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from wayfare.llm import token_count
+from wayfare.llm.common import BoundedCache
 from wayfare.llm.token_count import MARK, UnigramCounter, read_vocabulary, token_counts
 
 
@@ -48,10 +49,20 @@ def test_long_words_keep_few_states(public, monkeypatch):
 
 
 def test_counts_like_the_library(spark, public, monkeypatch):
-    monkeypatch.setattr(token_count, "CACHED_WORDS", 10)
+    monkeypatch.setattr(token_count, "CACHE_BYTES", 1000)
     docs = documents(spark)
     tokenizer = library(*public)
     expected = [(r.doc_id, len(tokenizer.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect()]
     found = [(r.id, r.n_tokens) for r in token_counts(docs, *public).collect()]
     assert sorted(found, key=str) == sorted(expected, key=str)
     assert token_counts(empty(docs), *public).count() == 0
+
+
+def test_the_cache_is_bounded_in_bytes(public):
+    count = UnigramCounter(*public).count
+    kept = BoundedCache(count, 4, 10_000, longest=50)
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdef漢", k=draw.randint(1, 80))) for _ in range(500)]
+    for word in words:
+        assert kept[word] == count(word)
+        assert sum(160 + 4 * len(w) for w in kept) == kept.held <= 10_000 and all(len(w) <= 50 for w in kept)

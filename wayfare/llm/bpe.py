@@ -23,9 +23,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import save, small_batches, text_slices
+from wayfare.llm.common import BoundedCache, save, small_batches, text_slices
 
 BLOCK_BYTES = 16 << 20  # text of one block
+PART_BYTES = 1 << 30  # text behind the distinct words of one part
 # characters for which lower case, composition and white space are the same in Python and in the tokenizer
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-įı-ʯ]*")
 
@@ -206,20 +207,14 @@ ENCODED = "block bigint, data binary"
 def _encode_step(definition):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(definition.value)
-        known: dict[str, list[int]] = {}
-        part = None
+        known, part = BoundedCache(tokenizer.ids, 44), None  # an id for each byte of a word at most
         for batch in batches:
             for row in batch.to_pylist():
                 if row["part"] != part:  # rows are sorted by part, and a word has one part only
-                    part, known = row["part"], {}
+                    part, known = row["part"], BoundedCache(tokenizer.ids, 44)
                 places, listed = _fields(row["data"])
                 words = _expand(listed).decode("utf-8", "surrogatepass").split("\n")
-                found = []
-                for word in words:
-                    ids = known.get(word)
-                    if ids is None:
-                        ids = known[word] = tokenizer.ids(word)
-                    found.append(ids)
+                found = [known[word] for word in words]
                 lengths = np.array([len(i) for i in found])
                 flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
                 data = _bundle([places, _pack(lengths), _pack(flat)])
@@ -283,6 +278,7 @@ def encode_and_decode(
     text_column: str = "text",
     mark: str | None = None,
     block_bytes: int = BLOCK_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """One row per document: ``id, mark, n_tokens, ids`` (little-endian 32-bit unsigned integers) and ``decoded``.
 
@@ -290,17 +286,20 @@ def encode_and_decode(
     the strings of special tokens in a text become their ids, as the library has it. ``decoded`` is its decode(ids)
     with special tokens: the pieces with a space between. NULL counts as the empty text, which has no ids. Other columns
     are not read; an empty table gives no rows. ``mark`` is passed through, or made up where there is none. The driver
-    reads the tokenizer file and hands it to the tasks; its size does not depend on the data.
+    reads the tokenizer file and hands it to the tasks; its size does not depend on the data. Words are dealt out to as many
+    parts as the session has shuffle partitions, and to more where a part would stand for over ``part_bytes`` of text; a
+    task keeps the ids of a part's words up to 64 MB and encodes words anew beyond that.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
         text = file.read()
     definition = spark.sparkContext.broadcast(text)
     pieces = spark.sparkContext.broadcast(_tokenizer(text).pieces())
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     small_batches(spark)
     marks = F.col(mark) if mark else F.monotonically_increasing_id()
+    size = docs.agg(F.sum(F.octet_length(F.col(text_column)).cast("bigint"))).first()[0] or 0
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"), marks.alias("mark"))
     split = save(rows.mapInArrow(_split_step(definition, parts, block_bytes), SPLIT), "split")
     lists = split.filter("kind = 'words'").select("block", "part", "data").repartition(parts, "part").sortWithinPartitions("part")

@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import small_batches, text_slices
+from wayfare.llm.common import BoundedCache, small_batches, text_slices
 
 MARK = "▁"  # stands for the space before a word
 UNKNOWN_PENALTY = 10.0  # below the lowest score of the vocabulary
-CACHED_WORDS = 1 << 19
+CACHE_BYTES = 64 << 20  # of words whose counts a task keeps
 
 
 class UnigramCounter:
@@ -83,23 +83,10 @@ def _counter(vocabulary: tuple[tuple[str, float], ...], unknown: int, byte_fallb
     return UnigramCounter(vocabulary, unknown, byte_fallback)
 
 
-class _Counts(dict):
-    """Piece counts of words met so far; started over when full, so that memory is bounded."""
-
-    def __init__(self, counter: UnigramCounter):
-        super().__init__()
-        self.counter = counter
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        found = self[word] = self.counter.count(MARK + word)
-        return found
-
-
 def _count_step(model):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _Counts(_counter(*model.value))
+        count = _counter(*model.value).count
+        counts = BoundedCache(lambda word: count(MARK + word), 4, CACHE_BYTES)
         for whole in batches:
             for batch in text_slices(whole, "text", 8 << 20):
                 tokens, words = [], []
