@@ -1,9 +1,11 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from wayfare.llm.embedding_dedup import calibrated_count, collision_chance, near_vectors
+from wayfare.llm import embedding_dedup
+from wayfare.llm.embedding_dedup import CELL, MET, OCCUPANCY, calibrated_count, cell_chance, cell_tables, collision_chance, near_vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, mark string, links string, component_id string"
 
@@ -55,6 +57,32 @@ def test_links_like_brute_force(spark, block_rows):
     assert any(r[1] for r in brute(rows))
 
 
+def test_tables_are_calibrated():
+    for size in (1, 50, 5000, 10**6, 10**9):
+        own, tables = cell_tables(size, 0.98)
+        near, far = cell_chance(CELL), cell_chance(CELL * math.sqrt(0.02))
+        assert 1 - (1 - near**own) ** tables >= MET and size * far**own <= OCCUPANCY
+    assert cell_tables(10**9, 0.98)[1] < 8 * cell_tables(5000, 0.98)[1]  # a label 200,000 times as large
+    draw = np.random.default_rng(2)
+    gaps, ends = draw.normal(size=200_000), draw.random(200_000)
+    assert np.mean(np.floor(gaps / 3 + ends) == 0) == pytest.approx(cell_chance(3.0), abs=0.005)
+
+
+def test_pairs_met_stay_in_proportion_to_the_rows(monkeypatch):
+    """Unrelated vectors of one label: what a vector shares a cell with does not grow with the label."""
+    met = []
+    for size in (1000, 8000):
+        draw = np.random.default_rng(size)
+        data = [v.tobytes() for v in draw.normal(size=(size, 32))]
+        batch = pa.RecordBatch.from_arrays([pa.array(["l"] * size), pa.array(range(size)), pa.array([1] * size), pa.array(data, pa.binary())], ["label", "rep", "copies", "vector"])
+        tables = cell_tables(size, 0.98)
+        (placed,) = embedding_dedup._project_step(16, tables, 0.2, 1)([batch])
+        cells = placed.column("cells").flatten().to_numpy().reshape(size, tables[1])
+        shared = [np.unique(cells[:, t], return_counts=True)[1] for t in range(tables[1])]
+        met.append(sum((n * (n - 1) // 2).sum() for n in shared) / size / tables[1])
+    assert met[0] < 0.5 and met[1] < 0.5
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 1), (3, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (4, [1.0, 0.0], 2)]
