@@ -15,7 +15,7 @@ from wayfare.llm.common import read, save
 from wayfare.llm.exact_dedup import drop_exact_copies
 from wayfare.llm.language_id import drop_rejected, fit_language_model
 from wayfare.llm.mixing import mixed_documents
-from wayfare.llm.near_dedup import drop_similar
+from wayfare.llm.simhash import drop_near_copies
 
 
 def tokenizer_path() -> str:
@@ -35,8 +35,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of texts that hang together by a similarity of 0.8 or more on five-word shingles, the one with the smallest doc_id."""
-    return drop_similar(docs)
+    """Of texts whose fingerprints hang together by at most four differing bits, the one with the smallest doc_id."""
+    return drop_near_copies(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
