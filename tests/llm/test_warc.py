@@ -93,6 +93,24 @@ def test_missing_segments_are_reported(spark, tmp_path):
     assert bytes(found[2].payload) == b"short"
 
 
+def test_a_page_repeated_a_thousand_times(spark, tmp_path):
+    rows = [(7, "http://a/7", "z" * 3000)] * 1000 + [(5, "http://a/5", "z" * 3000), (9, "http://a/9", "other " * 2000)]
+    folder = written(spark, tmp_path, rows, segment_bytes=1000)
+    records = read_archives(spark, folder)
+    found = resolve(records).collect()
+    assert len(found) == 1002 and len({r.record_id for r in found}) == 1002 and not any(r.problem for r in found)
+    assert [(r.record_type, r.target_page, r.payload_bytes) for r in found if r.page_id == 5] == [("revisit", 7, 3000)]
+    assert {(r.record_type, r.target_page, r.payload_bytes) for r in found if r.page_id == 7} == {("response", None, 3000)}
+    assert records.filter("page_id = 7").selectExpr("count(distinct payload)", "count(payload)").first()[:] == (1, 1000)
+
+
+def test_a_very_long_page(spark, tmp_path):
+    html = "".join(f"<p>line {i} é</p>\r\n\r\n" for i in range(200_000))
+    folder = written(spark, tmp_path, [(1, "u", html), (2, "v", "short")])
+    found = {r.page_id: r for r in read_archives(spark, folder).collect()}
+    assert bytes(found[1].payload).decode() == html and found[1].problem is None and bytes(found[2].payload) == b"short"
+
+
 def test_empty_table(spark, tmp_path):
     folder = str(tmp_path / "archives")
     write_archives(pages(spark).limit(0), folder)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.llm.common import save, small_batches, text_slices
+from wayfare.llm.common import repeated_rows, save, small_batches, text_slices
 
 END = b"\r\n\r\n"
 SEGMENT_BYTES = 16 << 10
@@ -76,8 +76,8 @@ def _from_line(value: str) -> str:
     return parts[0] + "".join(chr(int(p[:2], 16)) + p[2:] for p in parts[1:])
 
 
-def _record_id(page: int | None, url: str | None, key: bytes) -> str:
-    return f"<{uuid.UUID(bytes=hashlib.md5(repr((page, url)).encode() + key).digest()).urn}>"
+def _record_id(page: int | None, url: str | None, key: bytes, copy: int = 0) -> str:
+    return f"<{uuid.UUID(bytes=hashlib.md5(repr((page, url, copy)).encode() + key).digest()).urn}>"
 
 
 def _write_step(segment_bytes: int, chunk_bytes: int, date: str):
@@ -87,7 +87,7 @@ def _write_step(segment_bytes: int, chunk_bytes: int, date: str):
                 records: list[bytes] = []
                 for row in batch.to_pylist():
                     payload = (row["html"] or "").encode()
-                    name = _record_id(row["page_id"], row["url"], row["key"])
+                    name = _record_id(row["page_id"], row["url"], row["key"], row["copy"])
                     fields = [("WARC-Record-ID", name), ("WARC-Date", date)]
                     if row["url"] is not None:
                         fields.append(("WARC-Target-URI", _one_line(row["url"])))
@@ -131,33 +131,50 @@ def write_archives(
 
     The payload is the html in UTF-8, empty for NULL. Of pages with equal payloads of ``minimum_bytes`` or more, that
     with the largest page_id is the response and the others revisit it (NULL page_ids lose; among equal ones the url
-    decides); rows that agree in all three columns are each written as the response is. Other columns are not read.
-    An empty table writes no record.
+    decides); rows that agree in all three columns are each written as the response is, under record identifiers of their
+    own, the first of which the others revisit. Other columns are not read. An empty table writes no record.
     """
     small_batches(pages.sparkSession)
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     rows = pages.select(F.col("page_id").cast("bigint"), "url", "html").withColumn("key", F.unhex(F.sha2(payload, 256)))
+    page = ["key", "page_id", "url"]
+    counted = save(rows.groupBy(*page).agg(F.count(F.lit(1)).alias("rows")), "payloads")
     best = F.max(F.struct(F.col("page_id").isNotNull(), "page_id", F.col("url").isNotNull(), "url")).alias("best")
-    best = rows.groupBy("key").agg(best).select("key", F.col("best.page_id").alias("best_id"), F.col("best.url").alias("best_url"))
+    best = counted.groupBy("key").agg(best).select("key", F.col("best.page_id").alias("best_id"), F.col("best.url").alias("best_url"))
     # written, so that both sides of the join are plain shuffles, which AQE splits at a payload that many pages share
-    joined = rows.join(save(best, "responses"), "key")
+    wanted = save(counted.join(save(best, "responses"), "key"), "decided")
+    same = (rows.key == wanted.key) & rows.page_id.eqNullSafe(wanted.page_id) & rows.url.eqNullSafe(wanted.url)
+    joined = rows.join(wanted.hint("shuffle_hash"), same)  # pages are dealt out once, and not sorted
+    joined = joined.select(*[rows[c] for c in rows.columns], "rows", "best_id", "best_url")
+    single = joined.filter("rows = 1").withColumn("copy", F.lit(0).cast("bigint"))
+    most = wanted.agg(F.max("rows")).first()[0] or 0
+    if most > 1:
+        single = single.unionByName(repeated_rows(joined.filter("rows > 1").dropDuplicates(page), "rows", "copy", most))
     response = F.col("page_id").eqNullSafe(F.col("best_id")) & F.col("url").eqNullSafe(F.col("best_url"))
     large = F.octet_length(F.coalesce("html", F.lit(""))) >= minimum_bytes
-    joined = joined.withColumn("response", response | ~large)
+    joined = single.withColumn("response", response | ~large)
     records = joined.mapInArrow(_write_step(segment_bytes, chunk_bytes, date), "record binary")
     (
         records.select(F.col("record").cast("string"))
         .write.option("lineSep", END.decode())
         .option("compression", "gzip")
+        .option("zlib.compress.level", "BEST_SPEED")
         .option("maxRecordsPerFile", max(1, archive_bytes // (segment_bytes + HEAD_ROOM)))
         .text(folder)
     )
 
 
-PARSED = (
+SEGMENTS = (
     "record_id string, record_type string, page_id bigint, url string, digest string, refers_to string, "
     "origin string, segment int, total bigint, block binary"
 )
+DECODED = (
+    "record_id string, record_type string, page_id bigint, url string, digest string, refers_to string, "
+    "payload binary, problem string"
+)
+HEAD = ("record_id", "record_type", "page_id", "url", "digest", "refers_to")
+_HEAD_TYPES = (pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string())
+BATCH_BYTES = 8 << 20
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -188,75 +205,99 @@ def _inflate(data: bytes) -> bytes:
     return b"".join(parts)
 
 
-def _parse_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [part.split(" ")[0] for part in PARSED.split(", ")]
-    types = dict(zip(names, [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]))
+def _head(get) -> tuple:
+    """The values of ``HEAD`` from a record's header fields."""
+    page, url = get("page-id"), get("warc-target-uri")
+    digest = (get("warc-payload-digest") or "").removeprefix("sha1:") or None
+    named = None if page is None else int(page), None if url is None else _from_line(url)
+    return get("warc-record-id"), get("warc-type"), *named, digest, get("warc-refers-to")
+
 
-    def packed(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], types[n]) for i, n in enumerate(names)], names)
+def _packed(rows: list[tuple], names: tuple[str, ...], types: tuple[pa.DataType, ...]) -> pa.RecordBatch:
+    cells = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
+    return pa.RecordBatch.from_arrays(cells, list(names))
 
+
+def _rows_of_archives(batches: Iterator[pa.RecordBatch], row_of, names: tuple[str, ...], types: tuple[pa.DataType, ...]) -> Iterator[pa.RecordBatch]:
+    """Batches of what ``row_of`` makes of each record; it returns None for records that are not its own."""
     for batch in batches:
         for content in batch.column("content"):
             rows, held = [], 0
             for fields, block in parse_records(_inflate(content.as_py())):
-                get = fields.get
-                number = int(get("warc-segment-number", 0)) or None
-                url = get("warc-target-uri")
-                rows.append((
-                    get("warc-record-id"), get("warc-type"), int(fields["page-id"]) if "page-id" in fields else None,
-                    None if url is None else _from_line(url), (get("warc-payload-digest") or "").removeprefix("sha1:") or None,
-                    get("warc-refers-to"), get("warc-segment-origin-id") or (get("warc-record-id") if number else None), number,
-                    int(fields["warc-segment-total-length"]) if "warc-segment-total-length" in fields else None, block,
-                ))
+                row = row_of(fields.get, block)
+                if row is None:
+                    continue
+                rows.append(row)
                 held += len(block)
-                if held >= 8 << 20:
-                    yield packed(rows)
+                if held >= BATCH_BYTES:
+                    yield _packed(rows, names, types)
                     rows, held = [], 0
             if rows:
-                yield packed(rows)
+                yield _packed(rows, names, types)
 
 
-def _joined_block(segments: list[dict]) -> tuple[bytes, int]:
-    """The block that segments make up, and how many times it is there. Raises ValueError if it isn't whole."""
-    times = sum(s["segment"] == 1 for s in segments)
-    ordered = sorted(segments, key=lambda s: s["segment"])
-    if not times or len(ordered) % times or any(s["segment"] != i // times + 1 for i, s in enumerate(ordered)):
-        raise ValueError("segments are missing")
-    once = ordered[::times]
-    block = b"".join(s["block"] for s in once)
-    if once[-1]["total"] != len(block):
-        raise ValueError(f"the segments have {len(block)} bytes, not {once[-1]['total']}")
-    return block, times
+def _whole_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of one piece, decoded on the spot."""
 
+    def row_of(get, block: bytes) -> tuple | None:
+        if get("warc-segment-number"):
+            return None
+        head = _head(get)
+        return *head, *_payload(head[1], head[4], block)
 
-DECODED = (
-    "record_id string, record_type string, page_id bigint, url string, digest string, refers_to string, "
-    "payload binary, problem string"
-)
+    return _rows_of_archives(batches, row_of, (*HEAD, "payload", "problem"), (*_HEAD_TYPES, pa.binary(), pa.string()))
+
+
+def _segment_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First records of several pieces, and their continuations."""
+
+    def row_of(get, block: bytes) -> tuple | None:
+        number, total = get("warc-segment-number"), get("warc-segment-total-length")
+        if not number:
+            return None
+        origin = get("warc-segment-origin-id") or get("warc-record-id")
+        return *_head(get), origin, int(number), None if total is None else int(total), block
+
+    types = (*_HEAD_TYPES, pa.string(), pa.int32(), pa.int64(), pa.binary())
+    return _rows_of_archives(batches, row_of, (*HEAD, "origin", "segment", "total", "block"), types)
+
+
+def _joined_block(segments: list[dict]) -> bytes:
+    """The block that segments make up. Raises ValueError if it isn't whole."""
+    ordered = sorted(segments, key=lambda s: s["segment"])
+    if any(s["segment"] != i for i, s in enumerate(ordered, 1)):
+        raise ValueError("segments are missing or repeated")
+    block = b"".join(s["block"] for s in ordered)
+    if ordered[-1]["total"] != len(block):
+        raise ValueError(f"the segments have {len(block)} bytes, not {ordered[-1]['total']}")
+    return block
+
+
+def _payload(kind: str, digest: str | None, block: bytes) -> tuple[bytes | None, str | None]:
+    """The payload of a response, if it agrees with its digest, and what is wrong with it otherwise."""
+    if kind != "response":
+        return None, None
+    try:
+        head, _, body = block.partition(END)
+        payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
+    except ValueError as error:
+        return None, str(error)
+    return (payload, None) if digest == base32_sha1(payload) else (None, "the payload has another digest")
 
 
 def _decode_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [part.split(" ")[0] for part in DECODED.split(", ")]
-    types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.string()]
+    """Records whose segments have been brought together."""
+    names, types = (*HEAD, "payload", "problem"), (*_HEAD_TYPES, pa.binary(), pa.string())
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
+        for at in range(0, batch.num_rows, 64):
             rows = []
-            for row in batch.slice(at, 256).to_pylist():
-                payload, problem, times = None, None, 1
+            for row in batch.slice(at, 64).to_pylist():
                 try:
-                    block = row["block"]
-                    if row["segments"] is not None:
-                        block, times = _joined_block(row["segments"])
-                    if row["record_type"] == "response":
-                        head, _, body = block.partition(END)
-                        payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-                        if row["digest"] != base32_sha1(payload):
-                            payload, problem = None, "the payload has another digest"
+                    found = _payload(row["record_type"], row["digest"], _joined_block(row["segments"]))
                 except ValueError as error:
-                    payload, problem = None, str(error)
-                cells = tuple(row[n] for n in names[:6])
-                rows += [(*cells, payload, problem)] * times
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+                    found = None, str(error)
+                rows.append((*(row[n] for n in HEAD), *found))
+            yield _packed(rows, names, types)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,28 +308,21 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     put together, for which ``problem`` says why; none is left out. An archive is read as a whole by one task.
     """
     files = spark.read.format("binaryFile").load(folder).select("content")
-    records = files.mapInArrow(_parse_step, PARSED)
-    none = "cast(null as array<struct<segment: int, total: bigint, block: binary>>) as segments"
-    whole = records.filter("segment is null").selectExpr("record_id", "record_type", "page_id", "url", "digest", "refers_to", "block", none)
-    parts = records.filter("segment is not null")
+    whole = files.mapInArrow(_whole_step, DECODED)
+    parts = files.mapInArrow(_segment_step, SEGMENTS)
     lead = lambda c: F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c)
     grouped = parts.groupBy("origin").agg(
-        *[lead(c) for c in ("record_type", "page_id", "url", "digest", "refers_to")],
-        F.collect_list(F.struct("segment", "total", "block")).alias("segments"),
+        *[lead(c) for c in HEAD[1:]], F.collect_list(F.struct("segment", "total", "block")).alias("segments")
     )
-    grouped = grouped.select(
-        F.col("origin").alias("record_id"), "record_type", "page_id", "url", "digest", "refers_to",
-        F.lit(None).cast("binary").alias("block"), "segments",
-    )
-    return whole.unionByName(grouped).mapInArrow(_decode_step, DECODED)
+    return whole.unionByName(grouped.withColumnRenamed("origin", "record_id").mapInArrow(_decode_step, DECODED))
 
 
 def resolve(records: DataFrame) -> DataFrame:
     """Add to each record ``target_page``, the page of the response that it revisits, and the size of its payload.
 
-    A response met twice (rows repeated in full) counts once as a target.
+    The archives are read once; what comes of them, without the payloads, is written for the steps after that.
     """
-    sized = records.withColumn("own_bytes", F.octet_length("payload").cast("bigint")).drop("payload")
+    sized = save(records.withColumn("own_bytes", F.octet_length("payload").cast("bigint")).drop("payload"), "records")
     targets = sized.filter("record_type = 'response'").groupBy(F.col("record_id").alias("target")).agg(
         F.max("page_id").alias("target_page"), F.max("own_bytes").alias("target_bytes")
     )
