@@ -5,7 +5,10 @@ import pytest
 from cases import documents, empty
 from pyspark.sql import functions as F
 
+from wayfare.llm.common import repeated_rows
+from wayfare.llm.exact_dedup import drop_exact_copies
 from wayfare.llm.mixing import GOLDEN, golden_point, mix, mixed_documents, schedule, source_targets
+from wayfare.llm.simhash import drop_near_copies
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -84,3 +87,22 @@ def test_empty_table(spark):
     placed, stretches = mix(empty(documents(spark)))
     assert placed.count() == 0 and stretches.count() == 0
     assert mixed_documents(empty(documents(spark))).count() == 0
+
+
+def test_copies_of_a_row_are_made_by_several_tasks(spark):
+    rows = spark.createDataFrame([(1, 3, {"a": 1}), (2, 0, {}), (3, 50, {}), (4, 1, {})], "k int, times long, piece map<string,int>")
+    for at_once in (1024, 7):
+        made = repeated_rows(rows, "times", "number", 50, at_once)
+        assert sorted((r.k, r.number) for r in made.collect()) == [(1, i) for i in range(3)] + [(3, i) for i in range(50)] + [(4, 0)]
+        assert set(made.columns) == {"k", "times", "piece", "number"}
+
+
+@pytest.mark.parametrize("drop", [mixed_documents, drop_exact_copies, drop_near_copies])
+def test_helper_columns_do_not_clash_and_maps_are_borne(spark, drop):
+    names = ["__time", "time", "piece", "wanted_mark", "wanted_id", "wanted_rows", "wanted_times", "mark_"]
+    docs = documents(spark).withColumns({n: F.lit(f"my {n}") for n in names})
+    docs = docs.withColumn("tags", F.create_map(F.lit("k"), F.coalesce("doc_id", F.lit(0))))
+    kept = drop(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert rows and all(r[n] == f"my {n}" for r in rows for n in names) and all(r.tags == {"k": r.doc_id or 0} for r in rows)

@@ -47,17 +47,21 @@ def row_mark(docs: DataFrame) -> Column:
     return F.xxhash64(*plain, *[F.to_json(F.struct(F.col(f"`{c}`"))) for c in unhashed])
 
 
-def repeated_rows(rows: DataFrame, times: str, number: str, at_once: int = 1024) -> DataFrame:
-    """Each row as often as its column ``times`` says, numbered from 0 in a new column.
+def repeated_rows(rows: DataFrame, times: str, number: str, most: int, at_once: int = 1024) -> DataFrame:
+    """Each row as often as its column ``times`` says, ``most`` at most, numbered from 0 in a new column.
 
-    A row is first made one for each ``at_once`` copies, and those are dealt out, so that no task makes all copies of a row.
+    Where a row has over ``at_once`` copies, rows are first made one for each so many, and those are dealt out, so that no
+    task makes all copies of a row.
     """
+    copies, first = rows.filter(F.col(times) > 0), F.lit(0).cast("bigint")
     piece = fresh(rows, "piece")
-    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(times) - 1) / at_once))
-    dealt = rows.filter(F.col(times) > 0).withColumn(piece, F.explode(pieces)).repartition(F.col(piece))
-    first = F.col(piece) * at_once
-    copies = F.sequence(first, F.least(first + at_once, F.col(times).cast("bigint")) - 1)
-    return dealt.withColumn(number, F.explode(copies)).drop(piece)
+    if most > at_once:
+        plain = [F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+        copies = copies.withColumn(piece, F.explode(F.sequence(first, F.floor((F.col(times) - 1) / at_once))))
+        copies = copies.repartition(F.col(piece), F.xxhash64(*plain))
+        first = F.col(piece) * at_once
+    last = F.least(first + at_once, F.col(times).cast("bigint")) - 1
+    return copies.withColumn(number, F.explode(F.sequence(first, last))).drop(piece)
 
 
 def take_rows(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
@@ -76,9 +80,9 @@ def take_rows(docs: DataFrame, id_column: str, wanted: DataFrame) -> DataFrame:
     rows = found.filter(F.col(names["rows"]) == 1)
     if not wanted.filter("rows > 1").isEmpty():  # rows repeated in full: one of them speaks for all
         rows = rows.unionByName(found.filter(F.col(names["rows"]) > 1).dropDuplicates([mark, names["id"]]))
-    if not wanted.filter("times > 1").isEmpty():
-        often = repeated_rows(rows.filter(F.col(names["times"]) > 1), names["times"], fresh(rows, "time"))
-        rows = rows.filter(F.col(names["times"]) == 1).select(*columns).unionByName(often.select(*columns))
+    most = wanted.agg(F.max("times")).first()[0] or 0
+    if most > 1:
+        rows = repeated_rows(rows, names["times"], fresh(rows, "time"), most)
     return rows.select(*columns)
 
 
@@ -119,11 +123,15 @@ class BoundedCache(dict):
 def least_of_groups(rows: DataFrame, group: str, point: str, count: int) -> DataFrame:
     """The distinct (group, point) pairs with the ``count`` least points of each group, exactly: repeated rows are one.
 
-    Spark keeps ``count`` rows of a group in each task before the shuffle, so a large group is no burden.
+    Points are hashes, spread evenly over all ``bigint`` values, so a group's size tells below which value several times as
+    many lie as are asked for; only those are ordered, however large the group.
     """
+    distinct = save(rows.select(group, point).distinct(), "points")
+    sizes = save(distinct.groupBy(group).agg(F.count(F.lit(1)).alias("size")), "sizes")
+    place = F.col(point) / F.lit(2.0**64) + 0.5
+    low = distinct.join(sizes, group).filter(place * F.col("size") <= 8 * count + 64)
     turn = F.row_number().over(Window.partitionBy(group).orderBy(point))
-    distinct = rows.select(group, point).distinct()
-    return distinct.withColumn("turn", turn).filter(F.col("turn") <= count).drop("turn")
+    return low.withColumn("turn", turn).filter(F.col("turn") <= count).select(group, point)
 
 
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:

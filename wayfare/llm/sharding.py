@@ -69,8 +69,9 @@ def write_shards(docs: DataFrame, folder: str, shards: int = 16, bucket_bytes: i
     hot = placed.groupBy(place).agg(F.sum(size_).alias("bytes"), F.count(F.lit(1)).alias(copy)).filter(F.col("bytes") > bucket_bytes)
     hot = save(hot.filter(F.col(copy) > 1).select(place, copy), "hot-rows")
     placed = placed.drop(size_)
-    if not hot.isEmpty():  # one row speaks for its copies, which get numbers instead of meeting in a bucket
-        numbered = repeated_rows(placed.join(hot, place).dropDuplicates([place]), copy, offset)
+    most = hot.agg(F.max(copy)).first()[0]
+    if most:  # one row speaks for its copies, which get numbers instead of meeting in a bucket
+        numbered = repeated_rows(placed.join(hot, place).dropDuplicates([place]), copy, offset, most)
         numbered = numbered.withColumn(place, F.xxhash64(place, offset)).select(*columns, place)
         placed = placed.join(hot, place, "left_anti").select(*columns, place).unionByName(numbered)
     placed = placed.withColumn(bucket, F.pmod(F.col(place), F.lit(buckets)))
