@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 
 LONG_WORD = 64  # bytes
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 _IS_GAP = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 # odd numbers that mix bits well
@@ -118,7 +118,7 @@ def stretches(texts: list[bytes], window: int, gram: int, most: int) -> Iterator
 
     The anchor of a window is the least hash of its ``gram``-word runs, so equal windows have equal anchors, in whatever
     texts they are. Windows in a row that share an anchor are one stretch, of at most ``most`` windows. The digest is a
-    64-bit hash of all its words. Texts are taken in blocks of about a megabyte, so memory does not grow with their length.
+    64-bit hash of all its words. Texts are taken in blocks of fixed size, so memory does not grow with their length.
     """
     carried_hashes, carried_texts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first_words = np.full(len(texts), -1, np.int64)

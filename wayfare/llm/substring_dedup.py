@@ -26,8 +26,8 @@ from wayfare.llm.common import save, small_batches, text_slices
 WINDOW = 20
 GRAM = 8
 MOST_WINDOWS = 64  # of a stretch
-RUN_ROWS = 1 << 20  # stretches that a task sorts at once
-SLICE_BYTES = 64 << 20  # of text behind the stretches that one task compares
+RUN_ROWS = 1 << 19  # stretches that a task sorts at once
+SLICE_BYTES = 32 << 20  # of text behind the stretches that one task compares
 SHARD_WORDS = 200_000
 HOT_WORDS = 50_000  # an anchor with more words in different stretches is compared window by window
 NO_ID = np.iinfo(np.int64).max
