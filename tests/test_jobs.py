@@ -42,7 +42,9 @@ def test_lakehouse(spark, raw, zones, tmp_path):
     assert int(rolling["groups"]) >= 2 and rolling["failures"] == "0"
     strategy = values(result["tuning"], "join_strategy")
     assert (strategy["broadcast_in_plan"], strategy["sort_merge_in_plan"]) == ("True", "True")
-    assert values(result["tuning"], "output_files")["coalesced_files"] in ("1", "2")
+    assert strategy["broadcast_rows"] == strategy["sort_merge_rows"] == "240"
+    output = values(result["tuning"], "output_files")
+    assert output["coalesced_files"] in ("1", "2") and output["plain_rows"] == output["coalesced_rows"] == "2"
     for name in ("trips_silver", "trips_gold", "trips_gold_rolling_7d"):
         assert VersionedTable(spark, f"{folder}/{name}").read().count() == 240
     run_lakehouse(raw, zones, folder)
@@ -101,6 +103,7 @@ def test_shuffle_comparison_restores_settings(spark, raw):
     before = [spark.conf.get(k) for k in keys]
     result = values(tuning.compare_shuffle_partitions(raw, default=20, tuned=2, runs=1), "shuffle_partitions")
     assert {"default_run_1", "tuned_run_1", "saving_pct"} <= set(result)
+    assert result["default_rows"] == result["tuned_rows"] == str(raw.select("PULocationID", "DOLocationID").distinct().count())
     assert [spark.conf.get(k) for k in keys] == before
 
 
@@ -110,3 +113,16 @@ def test_reports(spark, tmp_path):
     saved = reports.write_report(report, str(tmp_path / "r"), "Title").collect()
     assert {r.title for r in saved} == {"Title"} and saved[0].captured_at is not None
     assert "|  a|" in reports.sample_text(spark.sql("select 1 as a"))
+
+
+def test_plan_operators(spark, raw):
+    plans = {"counted": raw.groupBy("VendorID").count(), "sorted": raw.orderBy("VendorID")}
+    found = reports.plan_operators(plans, ["HashAggregate", "Sort "], spark)
+    assert {(r.check, r.metric): r.value for r in found.collect()} == {
+        ("counted", "HashAggregate"): "true",
+        ("counted", "Sort "): "false",
+        ("sorted", "HashAggregate"): "false",
+        ("sorted", "Sort "): "true",
+    }
+    with pytest.raises(AssertionError, match="CartesianProduct"):
+        reports.assert_plan_contains(plans["sorted"], "Sort ", "CartesianProduct")

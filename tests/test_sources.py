@@ -144,6 +144,9 @@ def test_sinks(spark, tmp_path):
     sinks.write_coalesced(spark.range(0, 100, 1, 5), path, 2)
     assert sinks.list_files(spark.read.parquet(path)).count() == 2
     assert sinks.run_fully(spark.range(10)) > 0
+    for rows in (spark.range(10), spark.range(0), spark.range(10).filter("id > 10"), spark.range(10).join(spark.range(0), "id")):
+        seconds, counted = sinks.run_counted(rows)
+        assert seconds > 0 and counted == rows.count()
 
 
 def test_tables(spark, tmp_path):

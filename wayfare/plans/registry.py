@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -23,9 +23,9 @@ from wayfare.functions import (
     fingerprint_sql,
 )
 from wayfare.operators import checks, cleaning, comparison, history, joins, profile, ranking, rolling
-from wayfare.plans import reports, warehouse
+from wayfare.plans import reports, tuning, warehouse
 from wayfare.schemas import FINGERPRINT, RAW, TRIPS
-from wayfare.session import work_folder
+from wayfare.session import held, scoped_conf, work_folder
 from wayfare.sources import readers, sinks
 from wayfare.sources.drift import drift_changes
 from wayfare.sources.generated import date_series
@@ -1137,3 +1137,147 @@ def data_profile(spark: SparkSession, folder: str) -> DataFrame:
             reports.from_schema(profile.schema_rows(items), "schema"),
         ]
     )
+
+
+# --- reports, plans and comparisons -----------------------------------------------------------------------------
+
+
+@register(
+    f"""with {SQL_TRIPS}, counts as (
+            select count(*) as rows, count(VendorID) as vendors, count(passenger_count) as counted, count(store_and_fwd_flag) as flagged
+            from trips)
+        select 'Trips' as title, true as timed, 'columns' as "check", metric, cast(value as varchar) as value
+        from (unpivot counts on rows, vendors, counted, flagged into name metric value value)"""
+)
+def saved_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A report of the trips as it was saved, with its title and time."""
+    counts = {"vendors": "VendorID", "counted": "passenger_count", "flagged": "store_and_fwd_flag"}
+    row = trips(spark, folder).agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(name) for name, c in counts.items()])
+    saved = reports.write_report(reports.from_row(row, "columns"), work_folder(spark, "report"), "Trips")
+    return saved.withColumn("timed", F.col("captured_at").isNotNull()).drop("captured_at")
+
+
+SAMPLE_ROWS, SAMPLE_WIDTH = 10, 16
+
+
+@register(
+    f"""select cast(o_orderkey as varchar) as o_orderkey, cast(o_custkey as varchar) as o_custkey,
+            case when length(note) > {SAMPLE_WIDTH} then substr(note, 1, {SAMPLE_WIDTH - 3}) || '...' else note end as note
+        from (select *, 'order ' || o_orderkey || ': ' || o_orderpriority as note from orders)
+        order by o_totalprice desc, cast(o_orderkey as bigint) limit {SAMPLE_ROWS}"""
+)
+def sample_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten dearest orders as the text table shows them, long values cut; read back from its lines."""
+    note = F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit(": "), "o_orderpriority").alias("note")
+    dearest = table(spark, folder, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").select("o_orderkey", "o_custkey", note)
+    lines = reports.sample_text(dearest, SAMPLE_ROWS, SAMPLE_WIDTH).splitlines()
+    names, *rows = [[cell.strip() for cell in line.split("|")[1:-1]] for line in lines if line.startswith("|")]
+    return spark.createDataFrame(rows, ", ".join(f"{name} string" for name in names))
+
+
+@register(
+    f"""with {SQL_TRIPS}
+        select 'vendor' as "check", cast(VendorID as varchar) as metric, cast(count(*) as varchar) as value from trips group by 2
+        union all select 'zone', cast(PULocationID as varchar), cast(count(*) as varchar) from trips group by 2"""
+)
+def held_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals by vendor and by zone from trips that are held in memory meanwhile."""
+    path = work_folder(spark, "totals")
+    with held(trips(spark, folder).select("VendorID", "PULocationID")) as rows:
+        totals = {name: rows.groupBy(column).count() for name, column in (("vendor", "VendorID"), ("zone", "PULocationID"))}
+        report = reports.combine([reports.from_pairs(df, name) for name, df in totals.items()])
+        reports.assert_plan_contains(report, "InMemoryTableScan")
+        report.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register(
+    """select count(*) as rows, 5 as partitions, true as restored from lineitem"""
+)
+def scoped_settings(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items shuffled into a number of partitions that holds for one block, and whether the former number is back."""
+    path, name = work_folder(spark, "scoped"), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with scoped_conf(spark, **{"spark.sql.adaptive.enabled": "false", name: 5}):
+        orders = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+        orders.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    restored = F.lit(spark.conf.get(name) == before).alias("restored")
+    written = spark.read.parquet(path)
+    return written.agg(F.sum("n").alias("rows"), (F.max("part") + 1).alias("partitions")).withColumn("restored", restored)
+
+
+def _written(df: DataFrame, purpose: str) -> DataFrame:
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _zoned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Trips and zones as written tables, whose plans hold nothing but their scans, and the condition that joins them."""
+    rows = trips(spark, folder).select("VendorID", "PULocationID", "DOLocationID", "fare_amount", "tpep_pickup_datetime")
+    return _written(rows, "fact"), _written(zones(spark, folder), "lookup"), F.col("PULocationID") == F.col("LocationID")
+
+
+PLAN_OPERATORS = ("BroadcastHashJoin", "SortMergeJoin", "WindowGroupLimit", "HashAggregate", "CartesianProduct", "PushedFilters")
+
+
+@register(
+    f"""with {SQL_TRIPS}, {SQL_ZONES}, zoned as (select * from trips join zones on PULocationID = LocationID), plans as (
+            select 'broadcast' as "check", ['BroadcastHashJoin', 'PushedFilters'] as there, (select count(*) from zoned) as n
+            union all select 'merge', ['SortMergeJoin', 'PushedFilters'], (select count(*) from zoned)
+            union all select 'first', ['WindowGroupLimit'], (select count(*) from (select distinct VendorID from trips))
+            union all select 'dear', ['PushedFilters'], (select count(*) from trips where fare_amount >= {MIN_FARE})
+            union all select 'pairs', ['HashAggregate'], (select count(*) from (select distinct PULocationID, DOLocationID from trips)))
+        select "check", operator as metric, cast(list_contains(there, operator) as varchar) as value
+        from plans, (select unnest({list(PLAN_OPERATORS)}) as operator)
+        union all select "check", 'rows', cast(n as varchar) from plans"""
+)
+def plan_check(spark: SparkSession, folder: str) -> DataFrame:
+    """Which operators the plans of five queries have, and the rows that each yields in a run without output."""
+    rows, lookup, on = _zoned(spark, folder)
+    first = Window.partitionBy("VendorID").orderBy("tpep_pickup_datetime")
+    plans = {
+        "broadcast": joins.lookup_join(rows, lookup, on),
+        "merge": joins.merge_join(rows, lookup, on),
+        "first": rows.withColumn("place", F.row_number().over(first)).filter("place = 1"),
+        "dear": rows.filter(F.col("fare_amount") >= MIN_FARE),
+        "pairs": ranking.pair_counts(rows),
+    }
+    counted = [reports.from_values(spark, name, {"rows": sinks.run_counted(df)[1]}) for name, df in plans.items()]
+    return reports.combine([reports.plan_operators(plans, PLAN_OPERATORS, spark), *counted])
+
+
+def _outcomes(report: DataFrame) -> DataFrame:
+    """What a comparison found, without its times."""
+    return report.filter(F.col("metric").rlike("(_rows|_in_plan|coalesced_files)$"))
+
+
+@register(
+    f"""with {SQL_TRIPS}, {SQL_ZONES}
+        select 'join_strategy' as "check", metric, value from (
+            values ('broadcast_in_plan', 'True'), ('sort_merge_in_plan', 'True')) as plans(metric, value)
+        union all select 'join_strategy', unnest(['broadcast_rows', 'sort_merge_rows']), cast(count(*) as varchar)
+        from trips join zones on PULocationID = LocationID"""
+)
+def join_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """Broadcast against sort-merge join of trips and zones: the operators of their plans, and the rows of both."""
+    return _outcomes(tuning.compare_joins(*_zoned(spark, folder), runs=1))
+
+
+@register(
+    f"""with {SQL_TRIPS} select 'shuffle_partitions' as "check", unnest(['default_rows', 'tuned_rows']) as metric,
+            cast(count(*) as varchar) as value from (select distinct PULocationID, DOLocationID from trips)"""
+)
+def shuffle_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """The two-zone count with many and with few shuffle partitions: the rows of both."""
+    return _outcomes(tuning.compare_shuffle_partitions(_zoned(spark, folder)[0], default=40, tuned=4, runs=1))
+
+
+@register(
+    f"""with {SQL_TRIPS}, pairs as (select count(*) as n from (select distinct PULocationID, DOLocationID from trips))
+        select 'output_files' as "check", unnest(['plain_rows', 'coalesced_rows']) as metric, cast(n as varchar) as value from pairs
+        union all select 'output_files', 'coalesced_files', '2'"""
+)
+def output_comparison(spark: SparkSession, folder: str) -> DataFrame:
+    """The two-zone count written as partitioned and as two files: the rows of both and the files of the latter."""
+    return _outcomes(tuning.compare_output_files(_zoned(spark, folder)[0], partitions=6, files=2))

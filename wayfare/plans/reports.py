@@ -61,6 +61,13 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return text.getvalue()
 
 
+def plan_operators(plans: Mapping[str, DataFrame], operators: Sequence[str], spark: SparkSession) -> DataFrame:
+    """For each named frame, whether its plan has each of the operators, without executing it."""
+    texts = {name: plan_text(df) for name, df in plans.items()}
+    parts = [from_values(spark, name, {o: str(o in text).lower() for o in operators}) for name, text in texts.items()]
+    return combine(parts)
+
+
 def assert_plan_contains(df: DataFrame, *operators: str) -> None:
     plan = plan_text(df)
     absent = [name for name in operators if name not in plan]

@@ -7,19 +7,20 @@ from collections.abc import Callable
 from statistics import mean
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from wayfare.operators.joins import lookup_join, merge_join
 from wayfare.operators.ranking import pair_counts
 from wayfare.plans.reports import from_values, plan_text
 from wayfare.schemas import RAW, TripColumns
 from wayfare.session import scoped_conf, work_folder
-from wayfare.sources.sinks import list_files, run_fully, write_coalesced, write_parquet
+from wayfare.sources.sinks import list_files, run_counted, run_fully, write_coalesced, write_parquet
 
 
-def timed_runs(build: Callable[[], DataFrame], runs: int) -> list[float]:
-    """Seconds of ``runs`` executions after one that is not counted."""
-    run_fully(build())
-    return [run_fully(build()) for _ in range(runs)]
+def timed_runs(build: Callable[[], DataFrame], runs: int) -> tuple[list[float], int]:
+    """Seconds of ``runs`` executions after one that is not timed, and the rows that came out of that one."""
+    _, rows = run_counted(build())
+    return [run_fully(build()) for _ in range(runs)], rows
 
 
 def _saving(before: float, after: float) -> float:
@@ -28,15 +29,15 @@ def _saving(before: float, after: float) -> float:
 
 
 def compare_joins(fact: DataFrame, lookup: DataFrame, on: Column | str, runs: int = 2) -> DataFrame:
-    """Broadcast against sort-merge join: whether each plan has its operator, run times and saving."""
+    """Broadcast against sort-merge join: whether each plan has its operator, rows, run times and saving."""
     spark = fact.sparkSession
     broadcast = lookup_join(fact, lookup, on)
     values: dict[str, object] = {"broadcast_in_plan": "BroadcastHashJoin" in plan_text(broadcast)}
-    by_broadcast = timed_runs(lambda: broadcast, runs)
+    by_broadcast, values["broadcast_rows"] = timed_runs(lambda: broadcast, runs)
     with scoped_conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": -1}):
         merge = merge_join(fact, lookup, on)
         values["sort_merge_in_plan"] = "SortMergeJoin" in plan_text(merge)
-        by_merge = timed_runs(lambda: merge, runs)
+        by_merge, values["sort_merge_rows"] = timed_runs(lambda: merge, runs)
     values.update({f"broadcast_run_{i}": t for i, t in enumerate(by_broadcast, 1)})
     values.update({f"sort_merge_run_{i}": t for i, t in enumerate(by_merge, 1)})
     values.update(broadcast_mean=mean(by_broadcast), sort_merge_mean=mean(by_merge))
@@ -58,7 +59,7 @@ def compare_shuffle_partitions(
     for label, partitions in (("default", default), ("tuned", tuned)):
         settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": partitions}
         with scoped_conf(spark, **settings):
-            seconds = timed_runs(lambda: pair_counts(df, cols), runs)
+            seconds, values[f"{label}_rows"] = timed_runs(lambda: pair_counts(df, cols), runs)
         means[label] = mean(seconds)
         values.update({f"{label}_run_{i}": t for i, t in enumerate(seconds, 1)})
         values[f"{label}_mean"] = means[label]
@@ -69,7 +70,7 @@ def compare_shuffle_partitions(
 def compare_output_files(
     df: DataFrame, cols: TripColumns = RAW, partitions: int | None = None, files: int = 2
 ) -> DataFrame:
-    """Files and write time of the two-zone count as partitioned and coalesced."""
+    """Files, rows in them and write time of the two-zone count as partitioned and coalesced."""
     spark = df.sparkSession
     folder = work_folder(spark, "output-files")
     values: dict[str, object] = {}
@@ -83,5 +84,6 @@ def compare_output_files(
             start = time.perf_counter()
             sink(pair_counts(df, cols), f"{folder}/{label}")
             values[f"{label}_seconds"] = time.perf_counter() - start
-            values[f"{label}_files"] = list_files(spark.read.parquet(f"{folder}/{label}")).count()
+            written = list_files(spark.read.parquet(f"{folder}/{label}")).agg(F.count(F.lit(1)), F.sum("record_count"))
+            values[f"{label}_files"], values[f"{label}_rows"] = written.first()
     return from_values(spark, "output_files", values)
