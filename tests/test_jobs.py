@@ -107,6 +107,16 @@ def test_shuffle_comparison_restores_settings(spark, raw):
     assert [spark.conf.get(k) for k in keys] == before
 
 
+def test_comparisons_count_a_bounded_number_of_rows_in_a_task(spark):
+    trips = spark.range(2_000).selectExpr("1 as VendorID", "int(id % 50) as PULocationID", "int(id % 40) as DOLocationID")
+    shuffle = values(tuning.compare_shuffle_partitions(trips, default=8, tuned=2, runs=1, rows_per_task=100), "shuffle_partitions")
+    assert (shuffle["tuned_partitions"], shuffle["default_partitions"]) == ("20", "80")
+    assert shuffle["default_rows"] == shuffle["tuned_rows"] == "200"
+    files = values(tuning.compare_output_files(trips, partitions=3, files=2, rows_per_task=100), "output_files")
+    assert int(files["plain_files"]) > 3 and files["coalesced_files"] == "2"
+    assert files["plain_rows"] == files["coalesced_rows"] == "200"
+
+
 def test_reports(spark, tmp_path):
     report = reports.from_row(spark.sql("select 1 as a, null as b"), "x")
     assert [tuple(r) for r in report.collect()] == [("x", "a", "1"), ("x", "b", None)]
