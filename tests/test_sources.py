@@ -2,6 +2,7 @@ import contextlib
 from datetime import datetime
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from wayfare import session
@@ -137,6 +138,15 @@ def test_clustered_write_splits_a_hot_value(spark, tmp_path):
     assert table.read().count() == 400_000
 
 
+def test_few_files_are_computed_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "files")
+    task = F.udf(lambda _: TaskContext.get().partitionId(), "int")
+    sinks.write_coalesced(spark.range(0, 100, 1, 5).withColumn("task", task("id")), path, 2)
+    written = spark.read.parquet(path)
+    assert written.select("task").distinct().count() == 5 and written.count() == 100
+    assert sinks.list_files(written).count() == 2
+
+
 def test_sinks(spark, tmp_path):
     path = str(tmp_path / "files")
     sinks.write_parquet(spark.range(0, 100, 1, 5), path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.schemas import SINK_BATCH_ROWS
+from wayfare.session import remove_folder, scoped_conf, work_folder
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -17,10 +18,17 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def write_coalesced(df: DataFrame, path: str, files: int = 2) -> None:
     """Write at most ``files`` files.
 
-    ``coalesce`` runs the last stage of ``df`` on that many tasks, so this is for small results such as final
-    aggregates. Large tables are laid out by ``VersionedTable.write(cluster_by=...)``.
+    ``df`` is written in its own partitions first, and only these files are read and written by that many tasks.
+    ``coalesce`` alone would run the last stage of ``df``, such as a final aggregation, on those few tasks, and a shuffle
+    would carry rows that are larger than their files. Large tables are laid out by ``VersionedTable.write(cluster_by=...)``.
     """
-    df.coalesce(files).write.mode("overwrite").parquet(path)
+    spark, staged = df.sparkSession, work_folder(df.sparkSession, "staged")
+    df.write.option("compression", "zstd").parquet(staged)
+    try:
+        with scoped_conf(spark, **{"spark.sql.files.minPartitionNum": max(files, spark.sparkContext.defaultParallelism)}):
+            spark.read.schema(df.schema).parquet(staged).coalesce(files).write.mode("overwrite").parquet(path)
+    finally:
+        remove_folder(spark, staged)
 
 
 def list_files(df: DataFrame) -> DataFrame:
