@@ -151,6 +151,20 @@ def test_rows_placed_by_construction(spark):
     assert {tuple(r) for r in profile.partition_rows(df).collect()} == {(0, 0), (1, 10), (2, 0), (3, 90)}
 
 
+def test_rows_placed_by_construction_move_without_their_other_columns(spark, tmp_path):
+    spark.range(0, 900, 1, 3).selectExpr("id", "id % 7 as k", "sha2(string(id), 256) as t").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    by_key = df.repartitionById(9, F.col("k").cast("int"))
+    assert "ReadSchema: struct<k:bigint>" in plan_text(profile.partition_rows(by_key))
+    dealt = [by_key, df.repartition(5), df.repartition(5, "k"), df.repartition(5, "k").filter("id > 10").withColumn("u", F.upper("t"))]
+    for rows in [*dealt, df.repartition(5, "k").coalesce(2)]:
+        made = rows.rdd.mapPartitionsWithIndex(lambda i, part: [(i, sum(1 for _ in part))]).filter(lambda r: r[1]).collect()
+        counted = {(r.partition_id, r.rows) for r in profile.partition_rows(rows).collect() if r.rows}
+        assert profile.placed(rows) and counted == set(made)
+    for rows in (df, df.repartition("k"), df.join(df.repartition(5, "k"), "k"), df.repartition(5, "k").union(df)):
+        assert not profile.placed(rows)
+
+
 def test_schema_rows(spark):
     rows = profile.schema_rows(spark.range(1).selectExpr("id", "string(null) as s")).collect()
     assert [tuple(r) for r in rows] == [(0, "id", "bigint", False), (1, "s", "string", True)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 from functools import reduce
 from operator import or_
 
@@ -15,13 +16,15 @@ from pyspark.sql.types import MapType, VariantType
 def partition_rows(df: DataFrame) -> DataFrame:
     """Rows in each partition of ``df``, with 0 for empty partitions.
 
-    A scan is counted without reading a column, as its partitions follow from the files. Behind an adaptive shuffle, whose
-    partitions are sized by their bytes, all columns stay in the plan: one looks whether a value is NULL, or hashes a
-    column that can't be. The partitions are then those that the run itself made, up to the last one with rows.
+    A scan is counted without reading a column, as its partitions follow from the files. A shuffle into a given number of
+    partitions carries only the columns that place the rows. Behind an adaptive shuffle, whose partitions are sized by
+    their bytes, all columns stay in the plan: one looks whether a value is NULL, or hashes a column that can't be. The
+    partitions behind a shuffle are those that the run itself made, up to the last one with rows.
     """
     changing = adaptive(df)
-    counts = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n"), *(_touched(df) if changing else []))
-    if changing:
+    touched = _touched(df) if changing and not placed(df) else []
+    counts = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n"), *touched)
+    if touched:
         counts = counts.filter(reduce(or_, [F.col("n") > 0, *[F.col(c) for c in counts.columns if c.startswith("touched")]]))
     counts = counts.select("partition_id", "n")
     if changing:
@@ -40,11 +43,28 @@ def _touched(df: DataFrame) -> list[Column]:
     return [c.alias(f"touched_{i}") for i, c in enumerate(nulls + hashed)]
 
 
-def adaptive(df: DataFrame) -> bool:
-    """Whether the plan of ``df`` is adapted while it runs, so that its partitions are not known beforehand."""
+def _physical_plan(df: DataFrame) -> str:
     with contextlib.redirect_stdout(io.StringIO()) as text:
         df.explain("simple")
-    return "AdaptiveSparkPlan" in text.getvalue()
+    return text.getvalue()
+
+
+def adaptive(df: DataFrame) -> bool:
+    """Whether the plan of ``df`` is adapted while it runs, so that its partitions are not known beforehand."""
+    return "AdaptiveSparkPlan" in _physical_plan(df)
+
+
+def placed(df: DataFrame) -> bool:
+    """Whether the rows of ``df`` come from one shuffle into a number of partitions that was asked for.
+
+    Adaptive execution leaves such a shuffle as it is, whatever the sizes of its partitions.
+    """
+    for line in _physical_plan(df).splitlines():
+        if ":-" in line[: len(line) - len(line.lstrip(" :+-"))]:  # several inputs meet above the shuffle
+            return False
+        if line.lstrip(" +-").startswith("Exchange "):
+            return re.search(r", REPARTITION_BY_NUM, \[plan_id=\d+\]$", line) is not None
+    return False
 
 
 BALANCE = (
