@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wayfare.operators import checks, comparison, profile
-from wayfare.plans import warehouse
+from wayfare.plans import registry, warehouse
 from wayfare.plans.reports import plan_text
 from wayfare.session import scoped_conf
 
@@ -165,6 +165,11 @@ def test_rows_placed_by_construction_move_without_their_other_columns(spark, tmp
         assert not profile.placed(rows)
 
 
+def test_data_profile_moves_only_the_line_number(spark):
+    rows = registry.data_profile(spark, "/root/testdata/sf0.001")
+    assert "ReadSchema: struct<l_linenumber:int>" in plan_text(rows)
+
+
 def test_schema_rows(spark):
     rows = profile.schema_rows(spark.range(1).selectExpr("id", "string(null) as s")).collect()
     assert [tuple(r) for r in rows] == [(0, "id", "bigint", False), (1, "s", "string", True)]
