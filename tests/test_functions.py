@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from wayfare import functions as fn
 from wayfare.functions.fingerprint import fingerprint, fingerprint_sql, resolve
+from wayfare.plans import registry
+from wayfare.plans.reports import plan_text
 from wayfare.session import scoped_conf
 
 
@@ -104,3 +106,9 @@ def test_resolve_ignores_case_and_reports_missing(spark):
     assert resolve(df, [("VendorID", "int"), ("a", "str"), ("z", "str")]) == [("vendorid", "int"), ("A", "str")]
     with pytest.raises(ValueError, match="z"):
         resolve(df, [("z", "str")], missing="error")
+
+
+@pytest.mark.parametrize("query", [registry.trip_fingerprint, registry.trip_fingerprint_nullsafe])
+def test_fingerprints_are_made_before_rows_are_copied(spark, query):
+    plan = plan_text(query(spark, "/root/testdata/sf0.001"), "simple")
+    assert 0 < plan.index("Generate ") < plan.index("sha2(")

@@ -76,6 +76,19 @@ def trips(spark: SparkSession, folder: str, named: bool = False) -> DataFrame:
 
     Two columns of the raw layout are absent. ``named`` adds a person name.
     """
+    rows = single_trips(spark, folder, named)
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
+
+
+def copied(rows: DataFrame) -> DataFrame:
+    """Single trips with their copies. Columns that were added are computed once for all copies of a row, while a plain
+    ``explode`` of the number would compute them for each."""
+    columns = [c for c in rows.columns if c != "copies"]
+    return rows.select(F.inline(F.array_repeat(F.struct(*columns), F.col("copies"))))
+
+
+def single_trips(spark: SparkSession, folder: str, named: bool = False) -> DataFrame:
+    """Line items as trips, with the number of their ``copies``."""
     items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     # both sides grow with the data, so neither is a candidate for broadcasting
     rows = items.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -104,8 +117,8 @@ def trips(spark: SparkSession, folder: str, named: bool = False) -> DataFrame:
         F.col("l_tax").alias("improvement_surcharge"),
         F.col("o_totalprice").alias("total_amount"),
         *names,
-        F.explode(F.sequence(F.lit(1), copies)).alias("copy"),
-    ).drop("copy")
+        copies.alias("copies"),
+    )
 
 
 def event_trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -239,8 +252,8 @@ def trip_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(f"with {SQL_TRIPS} select {RAW_NAMES}, {SQL_HASH} as trip_fingerprint from trips")
 def trip_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    rows = trips(spark, folder)
-    return rows.withColumn("trip_fingerprint", fingerprint(rows))
+    rows = single_trips(spark, folder)
+    return copied(rows.withColumn("trip_fingerprint", fingerprint(rows)))
 
 
 @register(
@@ -264,9 +277,9 @@ def trip_fingerprint_sql(spark: SparkSession, folder: str) -> DataFrame:
         {_sql_hash(TRIP_KINDS, "<null>")} as trip_fingerprint from trips"""
 )
 def trip_fingerprint_nullsafe(spark: SparkSession, folder: str) -> DataFrame:
-    rows = trips(spark, folder)
+    rows = single_trips(spark, folder)
     key = fingerprint(rows, null_token="<null>").alias("trip_fingerprint")
-    return rows.select("VendorID", "PULocationID", "DOLocationID", key)
+    return copied(rows.select("VendorID", "PULocationID", "DOLocationID", key, "copies"))
 
 
 # --- deduplication ----------------------------------------------------------------------------------------------
