@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from wayfare.functions import fingerprint
 from wayfare.operators import joins
+from wayfare.plans import registry
 from wayfare.plans.reports import assert_plan_contains, plan_text
 
 
@@ -90,3 +92,15 @@ def test_star_lookup_keeps_unknown_keys(fact, lookup):
     dimension = joins.Dimension(lookup, "k", "key", "num")
     rows = joins.star_lookup(fact, [dimension]).collect()
     assert {(r.v, r.num_name) for r in rows} == {("a", "one"), ("b", "one"), ("c", "two"), ("d", None), ("e", None)}
+
+
+@pytest.mark.parametrize("query", [registry.join_fingerprint, registry.match_fingerprints])
+def test_fingerprints_are_shuffled_as_bytes(spark, query):
+    plan = plan_text(query(spark, "/root/testdata/sf0.001"), "simple")
+    assert plan.count("unhex(sha2(") == plan.count("sha2(") > 0
+
+
+def test_binary_fingerprints_are_the_same_hashes(spark):
+    df = spark.createDataFrame([(1, 2.5), (None, 2.5), (None, None)], "VendorID int, fare_amount double")
+    both = df.select(fingerprint(df).alias("t"), F.lower(F.hex(fingerprint(df, binary=True))).alias("b"))
+    assert both.filter("t <> b").count() == 0 and both.select("t").distinct().count() == 3

@@ -29,10 +29,12 @@ def is_valid_trip(cols: TripColumns = RAW, min_fare: float = MIN_FARE, zones: tu
     return F.expr(valid_trip_sql(cols, min_fare, zones))
 
 
-def derived_sql(df: DataFrame, cols: TripColumns = RAW, null_token: str | None = None) -> dict[str, str]:
+def derived_sql(
+    df: DataFrame, cols: TripColumns = RAW, null_token: str | None = None, binary: bool = False
+) -> dict[str, str]:
     """The added columns of a cleaned trip as SQL text. ``60.0D`` is a double; ``60.0`` would be a decimal and round."""
     seconds = f"unix_timestamp({cols.dropoff}) - unix_timestamp({cols.pickup})"
-    return {DURATION: f"({seconds}) / 60.0D", KEY: fingerprint_sql(df, null_token=null_token)}
+    return {DURATION: f"({seconds}) / 60.0D", KEY: fingerprint_sql(df, null_token=null_token, binary=binary)}
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
@@ -71,12 +73,14 @@ def clean_trips(
     min_fare: float = MIN_FARE,
     zones: tuple[int, int] = ZONE_RANGE,
     null_token: str | None = None,
+    binary: bool = False,
 ) -> DataFrame:
     """Valid trips, one per fingerprint, with duration and fingerprint added and names masked.
 
-    The filter is written first; Spark carries it into the file scan.
+    The filter is written first; Spark carries it into the file scan. With ``binary`` the fingerprints are bytes, for
+    callers that join or count by them.
     """
-    added = {name: F.expr(text) for name, text in derived_sql(df, cols, null_token).items()}
+    added = {name: F.expr(text) for name, text in derived_sql(df, cols, null_token, binary).items()}
     kept = df.filter(is_valid_trip(cols, min_fare, zones)).withColumns(added)
     return mask_name(keep_first(kept, [KEY], [cols.pickup]))
 

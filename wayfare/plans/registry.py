@@ -467,8 +467,8 @@ SQL_MODELS = f"with {SQL_STAGED}, {SQL_LOCATION}, {SQL_DATE}, {SQL_CONSTANTS}"
 def match_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned trips against staged trips of all vendors but the first."""
     raw = trips(spark, folder, named=True)
-    staged = warehouse.stage_trips(raw, **RULES).filter("vendor_id <> 1")
-    return joins.match_fingerprints(cleaning.clean_trips(raw, **RULES), staged)
+    staged = warehouse.stage_trips(raw, **RULES, binary=True).filter("vendor_id <> 1")
+    return joins.match_fingerprints(cleaning.clean_trips(raw, **RULES, binary=True), staged)
 
 
 @register(
@@ -478,11 +478,12 @@ def match_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def join_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     """The cleaned and the staged form of the same trips, joined on their fingerprints."""
     raw = trips(spark, folder, named=True)
-    lake = cleaning.clean_trips(raw, **RULES).select("trip_fingerprint", F.col("fare_amount").alias("lake_fare"))
-    staged = warehouse.stage_trips(raw, **RULES).select(
+    lake = cleaning.clean_trips(raw, **RULES, binary=True).select("trip_fingerprint", F.col("fare_amount").alias("lake_fare"))
+    staged = warehouse.stage_trips(raw, **RULES, binary=True).select(
         "trip_fingerprint", F.col("fare_amount").alias("warehouse_fare"), "driver_initials"
     )
-    return portable(joins.join_on_fingerprint(lake, staged))
+    joined = joins.join_on_fingerprint(lake, staged)
+    return portable(joined.withColumn("trip_fingerprint", F.lower(F.hex("trip_fingerprint"))))
 
 
 @register(

@@ -108,11 +108,14 @@ def _staged(source: str, kind: str, name: str) -> Column:
     return F.col(source) if same else strict_cast(F.col(source), kind, name)
 
 
-def stage_trips(raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, int] = ZONE_RANGE) -> DataFrame:
+def stage_trips(
+    raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, int] = ZONE_RANGE, binary: bool = False
+) -> DataFrame:
     """Typed, derived, valid and deduplicated trips. The fare test sees the amount rounded to cents.
 
     A value that its type can't hold stops the job; ``split_unfit`` sets such rows aside beforehand. Rounding adds half a
     cent at most, so the test of the raw amount drops nothing that the rounded one keeps, and it reaches the scan.
+    ``binary`` is that of ``clean_trips``.
     """
     raw = conform(raw, TRIPS, unreadable="error").filter(F.col(RAW.fare) >= min_fare - 0.01)
     passengers = "passenger_count"
@@ -123,7 +126,7 @@ def stage_trips(raw: DataFrame, min_fare: float = MIN_FARE, zones: tuple[int, in
         payment_key(passengers).alias("payment_type_id"),
         duration_minutes_exact("tpep_pickup_datetime", "tpep_dropoff_datetime").alias("trip_duration_minutes"),
         initials(varchar("driver_name", 100)).alias("driver_initials"),
-        fingerprint(raw).alias(KEY),
+        fingerprint(raw, binary=binary).alias(KEY),
     )
     valid = staged.filter(is_valid_trip(STAGED, min_fare=min_fare, zones=zones))
     return keep_first(valid, [KEY], [STAGED.pickup])
