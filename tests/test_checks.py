@@ -165,6 +165,20 @@ def test_rows_placed_by_construction_move_without_their_other_columns(spark, tmp
         assert not profile.placed(rows)
 
 
+def test_rows_dealt_in_turn_keep_the_columns_that_order_them(spark, tmp_path):
+    spark.range(0, 900, 1, 3).selectExpr("id", "sha2(string(id), 256) as t", "sequence(0, id % 50) as a").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    listed, grouped = df.repartition(5).select("id", "t", F.explode("a")), df.groupBy("id").agg(F.max("t").alias("t")).repartition(5)
+    adaptive = "spark.sql.adaptive."
+    settings = {adaptive + "advisoryPartitionSizeInBytes": "16KB", adaptive + "coalescePartitions.minPartitionSize": "1KB"}
+    with scoped_conf(spark, **settings, **{adaptive + "coalescePartitions.parallelismFirst": "false"}):
+        for rows in (listed, grouped):
+            made = rows.rdd.mapPartitionsWithIndex(lambda i, part: [(i, sum(1 for _ in part))]).collect()
+            assert [tuple(r) for r in profile.partition_rows(rows).orderBy("partition_id").collect()] == sorted(made)
+            assert not profile.placed(rows)
+        assert profile.placed(df.repartition(5)) and profile.placed(df.repartition(5, "t").select("id", F.explode("a")))
+
+
 def test_data_profile_moves_only_the_line_number(spark):
     rows = registry.data_profile(spark, "/root/testdata/sf0.001")
     assert "ReadSchema: struct<l_linenumber:int>" in plan_text(rows)

@@ -54,15 +54,25 @@ def adaptive(df: DataFrame) -> bool:
     return "AdaptiveSparkPlan" in _physical_plan(df)
 
 
+# Lines of a plan that neither drop nor multiply rows.
+_KEEPS_ROWS = re.compile(r"[ +-]*(== |(\*\(\d+\) ?)?(AdaptiveSparkPlan|ResultQueryStage|ShuffleQueryStage|Project|Coalesce)\b|$)")
+
+
 def placed(df: DataFrame) -> bool:
     """Whether the rows of ``df`` come from one shuffle into a number of partitions that was asked for.
 
-    Adaptive execution leaves such a shuffle as it is, whatever the sizes of its partitions.
+    Adaptive execution leaves such a shuffle as it is, whatever the sizes of its partitions. Rows dealt out in turn are
+    sorted by all their columns before, and come from partitions that an earlier shuffle may have sized by their bytes. So
+    their number in a partition is only known if there is no such shuffle, and nothing afterwards drops or multiplies rows.
     """
-    for line in _physical_plan(df).splitlines():
+    lines = _physical_plan(df).partition("== Initial Plan ==")[0].splitlines()
+    for i, line in enumerate(lines):
         if ":-" in line[: len(line) - len(line.lstrip(" :+-"))]:  # several inputs meet above the shuffle
             return False
         if line.lstrip(" +-").startswith("Exchange "):
+            in_turn = "Exchange RoundRobinPartitioning" in line
+            if in_turn and (any("Exchange" in x for x in lines[i + 1 :]) or not all(map(_KEEPS_ROWS.match, lines[:i]))):
+                return False
             return re.search(r", REPARTITION_BY_NUM, \[plan_id=\d+\]$", line) is not None
     return False
 
