@@ -117,6 +117,15 @@ def test_comparisons_count_a_bounded_number_of_rows_in_a_task(spark):
     assert files["plain_rows"] == files["coalesced_rows"] == "200"
 
 
+def test_large_and_small_numbers_are_reported_in_plain_digits(spark):
+    values = [2.4e7, 216e6 / 7, -1.5e12, 9999999999999998.0, 1.2345678901234567e-4, 5e-4, 4e6, 0.25, 0.0, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([tuple(values)], ", ".join(f"v{i} double" for i in range(len(values))))
+    assert [r.value for r in reports.from_row(df, "x").collect()] == [
+        "24000000.0", "30857142.85714286", "-1500000000000.0", "9999999999999998.0", "0.00012345678901234567", "0.0005",
+        "4000000.0", "0.25", "0.0", "NaN", "Infinity", None,
+    ]
+
+
 def test_reports(spark, tmp_path):
     report = reports.from_row(spark.sql("select 1 as a, null as b"), "x")
     assert [tuple(r) for r in report.collect()] == [("x", "a", "1"), ("x", "b", None)]

@@ -7,7 +7,7 @@ import io
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REPORT = "check string, metric string, value string"
@@ -19,10 +19,17 @@ def from_values(spark: SparkSession, check: str, values: Mapping[str, object]) -
 
 def from_row(df: DataFrame, check: str) -> DataFrame:
     """Turn a one-row frame into one report row per column."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    text = df.select(*[(_digits(c) if kind in ("double", "float") else F.col(c).cast("string")).alias(c) for c, kind in df.dtypes])
     return text.unpivot([], text.columns, "metric", "value").select(F.lit(check).alias("check"), "metric", "value")
 
 
+def _digits(name: str) -> Column:
+    """A floating-point number as text, without an exponent from 0.0001 up to 10^16, where SQL engines write plain digits."""
+    text = F.col(name).cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(text.contains("E") & (F.abs(name) >= 1e-4) & (F.abs(name) < 1e16), plain).otherwise(text)
+
+
 def from_pairs(df: DataFrame, check: str) -> DataFrame:
     """One report row for each row of a frame of two columns: the metric's name and its value."""
     name, value = df.columns
